@@ -43,7 +43,8 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Use all cores when the input has fewer splits than the cluster has cores.
 
     A large input has far more splits than cores and passes through untouched; only a
-    small one (a single row group, say) pays for a shuffle.
+    small one (a single row group, say) pays for a shuffle. Meant for scans: asking a plan
+    with shuffles for its partitions would run them.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kvetch.functions.lines import split_label, tab_fields
-from kvetch.functions.text import TRAINING_STOP_WORDS, tokenize, without_words
-from kvetch.session import java_charsets
+from kvetch.session import java_charsets, spread
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -18,14 +17,14 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     a large file is read by many tasks. Only the names of malformed files are grouped.
     ``seq`` orders lines as they stand in their file.
     """
-    raw = spark.read.text(path).select(
+    raw = spread(spark.read.text(path).select(
         F.col("value"),
         F.struct(
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("row"),
         ).alias("seq"),
-    )
+    ))
     malformed = (
         spark.read.text(path)
         .where(~F.is_valid_utf8("value"))
@@ -81,9 +80,3 @@ def lines_to_score(lines: DataFrame, has_label: bool) -> DataFrame:
     if has_label:
         return _with_label(lines, "noclassid").withColumnRenamed("label", "id")
     return lines.withColumn("id", F.lit("-100")).withColumnRenamed("line", "text")
-
-
-def training_tokens(lines: DataFrame, normalized: bool = True) -> DataFrame:
-    """Labelled lines with their tokens, without stop words; lines left empty are dropped."""
-    tokens = without_words(tokenize(F.col("text"), normalized), TRAINING_STOP_WORDS)
-    return labelled_lines(lines).withColumn("tokens", tokens).where(F.size("tokens") > 0)
