@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kvetch.functions.rows import explode_rows
 from kvetch.functions.text import FEATURE_STOP_WORDS, without_words
 
 # Words of this length or longer are no features; this class is always kept.
@@ -24,7 +25,7 @@ def usable_words(tokens: str = "tokens"):
 def word_class_counts(texts: DataFrame) -> DataFrame:
     """Occurrences of each short word in each class."""
     return (
-        texts.select("label", F.explode("tokens").alias("word"))
+        explode_rows(texts, "tokens", "word", "label")
         .where(F.length("word") < MAX_WORD_LENGTH)
         .groupBy("word", "label")
         .agg(F.count("*").alias("cnt"))
@@ -48,7 +49,7 @@ def selected_words(texts: DataFrame, min_total: int = 1) -> DataFrame:
 
 def vocabulary(texts: DataFrame) -> DataFrame:
     """Distinct words of all texts."""
-    return texts.select(F.explode("tokens").alias("word")).distinct()
+    return explode_rows(texts, "tokens", "word").distinct()
 
 
 def class_prior(texts: DataFrame) -> DataFrame:
@@ -61,7 +62,7 @@ def class_prior(texts: DataFrame) -> DataFrame:
 def binary_features(texts: DataFrame) -> DataFrame:
     """One row per text and distinct word, with value 1. Needs no shuffle."""
     kept = [name for name in texts.columns if name != "tokens"]
-    return texts.select(*kept, F.explode(F.array_distinct("tokens")).alias("word")).withColumn(
+    return explode_rows(texts, F.array_distinct("tokens"), "word", *kept).withColumn(
         "value", F.lit(1).cast("long")
     )
 
@@ -72,7 +73,7 @@ def count_features(texts: DataFrame, key: str) -> DataFrame:
     ``key`` names each text. Repeats are combined before the shuffle.
     """
     kept = [name for name in texts.columns if name != "tokens"]
-    words = texts.select(*kept, F.explode("tokens").alias("word"))
+    words = explode_rows(texts, "tokens", "word", *kept)
     others = [name for name in kept if name != key]
     return words.groupBy(key, "word").agg(
         *[F.first(name).alias(name) for name in others], F.count("*").alias("value")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kvetch.functions.rows import explode_rows
 from kvetch.operators.lookup import hinted
 
 UNKNOWN = "x"
@@ -24,7 +25,7 @@ def with_user_words(lexicon: DataFrame, user_words: DataFrame) -> DataFrame:
 def tag_tokens(df: DataFrame, tokens: str, lexicon: DataFrame) -> DataFrame:
     """One row per token: the other columns, ``pos``, ``word`` and ``nature``."""
     kept = [column for column in df.columns if column != tokens]
-    words = df.select(*kept, F.posexplode(tokens).alias("pos", "word"))
+    words = explode_rows(df, tokens, "word", *kept, pos="pos")
     return words.join(hinted(lexicon.select("word", "nature")), "word", "left").select(
         *kept, "pos", "word", F.coalesce("nature", F.lit(UNKNOWN)).alias("nature")
     )

@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kvetch.functions.rows import explode_rows
+
 # Word tables up to these sizes are sent to every task.
 MAX_ROWS = 1_000_000
 MAX_BYTES = 128 << 20
@@ -64,7 +66,7 @@ def matches(df: DataFrame, tokens: str, table: DataFrame, how: str = "inner") ->
     was too large to broadcast; there adaptive execution splits the hot partitions, as
     the table's side has few rows per word.
     """
-    words = distinct_arrays(df, tokens).select("print", "copies", F.posexplode("tokens").alias("pos", "word"))
+    words = explode_rows(distinct_arrays(df, tokens), "tokens", "word", "print", "copies", pos="pos")
     return words.join(hinted(table), "word", how)
 
 

@@ -186,7 +186,7 @@ def score_by_join(df: DataFrame, tokens: str, model: Model) -> DataFrame:
     )
     words = df.select(
         fingerprint(F.col(tokens)).alias("print"),
-        F.explode(F.concat(F.array(F.lit(None).cast("string")), tokens)).alias("word"),
+        F.explode_outer(F.concat(F.array(F.lit(None).cast("string")), tokens)).alias("word"),
     )
     copies = F.count_if(F.col("word").isNull())
     sums = (

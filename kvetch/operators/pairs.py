@@ -6,6 +6,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kvetch.functions.rows import explode_rows
 from kvetch.operators.lookup import MAX_BYTES, MAX_ROWS, fits, matches
 
 # Natures left out, natures of nouns and predicates, the verb that is none.
@@ -68,9 +69,9 @@ def _pairs_in_rows(texts: DataFrame, tokens: str, table: pa.Table) -> DataFrame:
     words = table["word"].cast(pa.string()).combine_chunks()
     is_noun = table["is_noun"].combine_chunks()
     parts = texts.select(_counted_words(spark, words, is_noun, F.col(tokens)).alias("parts"))
+    nouns = explode_rows(parts, "parts.nouns", "noun", F.col("parts.predicates").alias("predicates"))
     pairs = (
-        parts.select(F.explode("parts.nouns").alias("noun"), F.col("parts.predicates").alias("predicates"))
-        .select("noun", F.explode("predicates").alias("predicate"))
+        explode_rows(nouns, "predicates", "predicate", "noun")
         .groupBy(F.col("noun.place").alias("noun"), F.col("predicate.place").alias("predicate"))
         .agg(F.sum(F.col("noun.n") * F.col("predicate.n")).alias("cnt"))
     )

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kvetch.functions.rows import explode_rows
 from kvetch.functions.text import FULL_WIDTH, HALF_WIDTH
 from kvetch.operators.keywords import build_dictionary, parse_rules
 from kvetch.session import spread
@@ -103,7 +104,7 @@ def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sentence_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One labelled line per line of each labelled document; equal lines come again."""
-    sentences = labelled_texts(spark, sf_dir).select("doc_id", "label", F.posexplode(F.split("text", "\n")).alias("pos", "text"))
+    sentences = explode_rows(labelled_texts(spark, sf_dir), F.split("text", "\n"), "text", "doc_id", "label", pos="pos")
     return sentences.select(
         F.concat_ws("\t", "label", "text").alias("line"), F.struct("doc_id", "pos").alias("seq")
     )
@@ -112,7 +113,7 @@ def sentence_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rule_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A rule line from each line of each document."""
     texts = documents(spark, sf_dir, "doc_id", "text", "lang", "source")
-    lines = texts.select("doc_id", "lang", "source", F.posexplode(F.split("text", "\n")).alias("pos", "text"))
+    lines = explode_rows(texts, F.split("text", "\n"), "text", "doc_id", "lang", "source", pos="pos")
     return lines.select(
         "doc_id", "pos", F.concat_ws("\t", "lang", "source", F.translate(F.lower("text"), ",", "，")).alias("line")
     )

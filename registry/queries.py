@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kvetch.functions.rows import explode_rows
 from kvetch.functions.text import fold_variants, fold_width, tokenize, without_words
 from kvetch.operators import features, keywords, lexicon, model, pairs, segment, training
 from kvetch.operators.merge import merge_classes as merged_classes
@@ -227,7 +228,7 @@ def keyword_classes_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keyword_vote_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    votes = _keyword_classes(spark, sf_dir).select("doc_id", F.posexplode("votes").alias("pos", "vote"))
+    votes = explode_rows(_keyword_classes(spark, sf_dir), "votes", "vote", "doc_id", pos="pos")
     return votes.select("doc_id", _long(F.col("pos") + 1).alias("place"), F.col("vote.class").alias("class"), F.col("vote.votes").alias("votes"))
 
 
@@ -319,7 +320,7 @@ def _distribution(spark: SparkSession, sf_dir: str, by_join: bool) -> DataFrame:
         scored = model.score_by_join(texts.withColumn("tokens", F.array_distinct("tokens")), "tokens", trained)
     else:
         scored = model.with_distribution(texts, trained)
-    rows = scored.select("doc_id", _long("known").alias("known"), F.explode(model.ranked_classes(trained)).alias("row"))
+    rows = explode_rows(scored, model.ranked_classes(trained), "row", "doc_id", _long("known").alias("known"))
     return rows.select("doc_id", "known", F.col("row.class").alias("class"), F.round("row.p", 6).alias("p"))
 
 
@@ -335,7 +336,7 @@ def predict_with_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, and each in full-width forms, of which the model knows nothing."""
     trained = _plain_model(spark, sf_dir)
     texts = inputs.documents(spark, sf_dir, "doc_id", "text")
-    both = texts.select("doc_id", F.explode(F.array(F.col("text"), inputs.wide_text())).alias("text"))
+    both = explode_rows(texts, F.array(F.col("text"), inputs.wide_text()), "text", "doc_id")
     found = both.select("doc_id", tokenize(F.lower("text"), normalized=False).alias("tokens"))
     best = model.with_best_class(model.with_distribution(found, trained), trained)
     return best.select("doc_id", "classid", _rounded("cvalue"))
@@ -447,3 +448,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "noun_predicate_pairs": noun_predicate_pairs,
     "noun_predicate_pairs_by_join": noun_predicate_pairs_by_join,
 }
+
+# The models that queries apply without training them.
+_APPLIED = {
+    "class_distribution": _plain_model,
+    "class_distribution_by_join": _plain_model,
+    "predict_with_gate": _plain_model,
+    "predict_top3": _plain_model,
+    "merge_classes": _comment_model,
+    "classify_comments": _comment_model,
+    "score_messages_hourly": _message_model,
+    "score_lines": _message_model,
+}
+
+
+def prepare(spark: SparkSession, name: str, sf_dir: str) -> None:
+    """Train the model a query applies, if it applies one."""
+    if name in _APPLIED:
+        _APPLIED[name](spark, sf_dir)
