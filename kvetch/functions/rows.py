@@ -12,11 +12,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def explode_rows(df: DataFrame, items: Column | str, name: str, *kept: Column | str, pos: str | None = None) -> DataFrame:
-    """The ``kept`` columns and one row per element; with ``pos`` also its place from 0."""
+def explode_rows(
+    df: DataFrame,
+    items: Column | str,
+    name: str,
+    *kept: Column | str,
+    pos: str | None = None,
+    nulls: bool = False,
+) -> DataFrame:
+    """The ``kept`` columns and one row per element; with ``pos`` also its place from 0.
+
+    What is kept is computed once per input row, not once per element. With ``nulls`` an
+    array that is NULL or empty gives a row too, and NULL elements stay.
+    """
+    rows = df.select(*kept, (F.col(items) if isinstance(items, str) else items).alias("_items"))
+    names = [F.col(f"`{column}`") for column in rows.columns[:-1]]
     if pos is None:
-        return df.select(*kept, F.explode_outer(items).alias(name)).where(F.col(name).isNotNull())
-    return df.select(*kept, F.posexplode_outer(items).alias(pos, name)).where(F.col(pos).isNotNull())
+        exploded = rows.select(*names, F.explode_outer("_items").alias(name))
+    else:
+        exploded = rows.select(*names, F.posexplode_outer("_items").alias(pos, name))
+    return exploded if nulls else exploded.where(F.col(pos or name).isNotNull())
 
 
 def where_not_empty(df: DataFrame, name: str) -> DataFrame:

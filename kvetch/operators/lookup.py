@@ -7,9 +7,13 @@ joined on the word, and its matches are collected again per array.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kvetch.functions.rows import explode_rows
 
@@ -21,10 +25,16 @@ MAX_LITERALS = 5_000
 
 
 def fits(table: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> bool:
-    """Measure a table's rows and their size as text."""
-    size = table.select(F.octet_length(F.to_json(F.struct(*table.columns))).alias("bytes")).agg(
-        F.count("*").alias("rows"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")
-    ).first()
+    """Measure a table's rows and bytes."""
+    def width(field: T.StructField) -> Column:
+        if isinstance(field.dataType, T.StringType):
+            return F.coalesce(F.octet_length(field.name), F.lit(0))
+        if isinstance(field.dataType, T.NumericType | T.BooleanType):
+            return F.lit(8)
+        return F.octet_length(F.to_json(F.struct(field.name)))
+
+    row = reduce(add, [width(field) for field in table.schema.fields])
+    size = table.agg(F.count("*").alias("rows"), F.coalesce(F.sum(row), F.lit(0)).alias("bytes")).first()
     return size["rows"] <= max_rows and size["bytes"] <= max_bytes
 
 

@@ -21,6 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kvetch.functions.rows import explode_rows
 from kvetch.operators.lookup import fingerprint, fits, hinted
 
 # The answer for a text without any known word, the number of ranked classes.
@@ -184,10 +185,8 @@ def score_by_join(df: DataFrame, tokens: str, model: Model) -> DataFrame:
     weights = model.wide().select(
         "word", *[(F.log(F.col("f")[c] + model.smoothing) - F.lit(base[c])).alias(f"w{c}") for c in classes]
     )
-    words = df.select(
-        fingerprint(F.col(tokens)).alias("print"),
-        F.explode_outer(F.concat(F.array(F.lit(None).cast("string")), tokens)).alias("word"),
-    )
+    marked = F.concat(F.array(F.lit(None).cast("string")), tokens)
+    words = explode_rows(df, marked, "word", fingerprint(F.col(tokens)).alias("print"), nulls=True)
     copies = F.count_if(F.col("word").isNull())
     sums = (
         words.join(hinted(weights), "word", "left")
