@@ -67,14 +67,12 @@ def binary_features(texts: DataFrame) -> DataFrame:
     )
 
 
-def count_features(texts: DataFrame, key: str) -> DataFrame:
+def count_features(texts: DataFrame) -> DataFrame:
     """One row per text and distinct word with its number of occurrences.
 
-    ``key`` names each text. Repeats are combined before the shuffle.
+    The columns besides ``tokens`` have to tell texts apart. Repeats are combined before
+    the shuffle.
     """
     kept = [name for name in texts.columns if name != "tokens"]
     words = explode_rows(texts, "tokens", "word", *kept)
-    others = [name for name in kept if name != key]
-    return words.groupBy(key, "word").agg(
-        *[F.first(name).alias(name) for name in others], F.count("*").alias("value")
-    )
+    return words.groupBy(*kept, "word").agg(F.count("*").alias("value"))

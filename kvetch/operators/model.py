@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -139,11 +140,15 @@ def word_indexer(spark: SparkSession, words: pa.Array) -> Callable[[Column], Col
     return places
 
 
-def place_scorer(model: Model) -> Callable[[Column], Column]:
-    """Arrays of word places to class probabilities, with the weights sent to every task."""
+def shared_weights(model: Model) -> Broadcast:
+    """The weights of a small model, for :func:`place_scorer`."""
     _, matrix = model.cells
     logs = np.log(matrix + model.smoothing) - np.asarray(model.base)
-    shared = model.spark.sparkContext.broadcast((logs, np.asarray(model.prior)))
+    return model.spark.sparkContext.broadcast((logs, np.asarray(model.prior)))
+
+
+def place_scorer(shared: Broadcast) -> Callable[[Column], Column]:
+    """Arrays of word places to class probabilities, with the weights sent to every task."""
     step = _TEXTS_PER_STEP
 
     @F.arrow_udf("array<double>")
@@ -219,7 +224,7 @@ def with_distribution(df: DataFrame, model: Model, tokens: str = "tokens", binar
     small = model.small()
     if small is not None:
         places = df.withColumn("_places", word_indexer(model.spark, small[0])(seen))
-        scored = places.withColumns({"known": F.size("_places"), "p": place_scorer(model)(F.col("_places"))})
+        scored = places.withColumns({"known": F.size("_places"), "p": place_scorer(shared_weights(model))(F.col("_places"))})
         return scored.drop("_places")
     return score_by_join(df.withColumn("_seen", seen), "_seen", model).drop("_seen")
 

@@ -64,7 +64,8 @@ def write_partition(
     )
     ordered = df.select(*[_quoted(name) for name in spark.table(_quoted(table)).columns if name not in partition])
     if files is not None:
-        ordered = ordered.coalesce(files)
+        # Not coalesce, which would also run everything before it in that few tasks.
+        ordered = ordered.repartition(files)
     spark.sql(f"INSERT OVERWRITE TABLE {_quoted(table)} PARTITION ({values}) SELECT * FROM {{rows}}", rows=ordered)
 
 

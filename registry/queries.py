@@ -259,7 +259,7 @@ def features_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def features_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.count_features(_labelled_tokens(spark, sf_dir), "doc_id")
+    return features.count_features(_labelled_tokens(spark, sf_dir))
 
 
 # Classifier. Queries that apply a model share it within a session, as a saved model is.
