@@ -37,6 +37,23 @@ _TEXTS_PER_STEP = 1_000
 TERMS_SCHEMA = "word string, label string, f double"
 
 
+def wide(terms: DataFrame, classes: list[str]) -> DataFrame:
+    """One row per word: the weights of all classes, 0 where a class lacks the word."""
+    return terms.groupBy("word").agg(
+        F.array(*[F.sum(F.when(F.col("label") == name, F.col("f")).otherwise(0.0)) for name in classes]).alias("f")
+    )
+
+
+def collect_cells(terms: DataFrame, classes: list[str], max_rows: int) -> tuple[pa.Array, np.ndarray] | None:
+    """Words and weight matrix of a table of terms within the limits, or None."""
+    if not fits(terms.select("word"), max_rows):
+        return None
+    rows = wide(terms, classes).toArrow().combine_chunks()
+    weights = pc.list_flatten(rows["f"]).to_numpy()
+    words = rows["word"].cast(pa.string()).combine_chunks()
+    return words, weights.reshape(len(words), len(classes))
+
+
 @dataclass
 class Model:
     """Word weights per class, and the few numbers per class.
@@ -80,22 +97,10 @@ class Model:
             self.table = self.spark.createDataFrame(rows, TERMS_SCHEMA)
         return self.table
 
-    def wide(self) -> DataFrame:
-        """One row per word: the weights of all classes, 0 where a class lacks the word."""
-        return self.terms.groupBy("word").agg(
-            F.array(
-                *[F.sum(F.when(F.col("label") == name, F.col("f")).otherwise(0.0)) for name in self.classes]
-            ).alias("f")
-        )
-
     def small(self) -> tuple[pa.Array, np.ndarray] | None:
         """Words and weight matrix, or None if the model is too large to send around."""
-        few = self.vocabulary_size * len(self.classes) <= MAX_CELLS
-        if self.cells is None and few and fits(self.terms.select("word"), MAX_CELLS):
-            rows = self.wide().toArrow().combine_chunks()
-            weights = pc.list_flatten(rows["f"]).to_numpy()
-            words = rows["word"].cast(pa.string()).combine_chunks()
-            self.cells = words, weights.reshape(len(words), len(self.classes))
+        if self.cells is None and self.vocabulary_size * len(self.classes) <= MAX_CELLS:
+            self.cells = collect_cells(self.terms, self.classes, MAX_CELLS)
         return self.cells
 
     def save(self, folder: str) -> None:
@@ -187,7 +192,7 @@ def score_by_join(df: DataFrame, tokens: str, model: Model) -> DataFrame:
     """
     classes = range(len(model.classes))
     base = model.base
-    weights = model.wide().select(
+    weights = wide(model.terms, model.classes).select(
         "word", *[(F.log(F.col("f")[c] + model.smoothing) - F.lit(base[c])).alias(f"w{c}") for c in classes]
     )
     marked = F.concat(F.array(F.lit(None).cast("string")), tokens)

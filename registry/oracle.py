@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from kvetch.functions.text import FEATURE_STOP_WORDS, FULL_WIDTH, HALF_WIDTH, TRAINING_STOP_WORDS
 from kvetch.operators.keywords import NO_CLASS
+from kvetch.operators.training import PASSES as ALL_PASSES
 from registry import inputs
 from registry.queries import PASSES
 
@@ -180,13 +181,13 @@ top AS (
   FROM p GROUP BY doc)"""
 
 
-_PLAIN_TRAINING = (
+_PLAIN_ROWS = (
     _LABELLED_WORDS
     + """,
 train_docs AS (SELECT doc_id AS doc, label FROM labelled),
 train_words AS MATERIALIZED (SELECT DISTINCT doc_id AS doc, word FROM words),"""
-    + _training(PASSES)
 )
+_PLAIN_TRAINING = _PLAIN_ROWS + _training(PASSES)
 
 # Training on labelled lines without the ambiguous keywords.
 _COMMENT_TRAINING = (
@@ -335,6 +336,8 @@ ORACLE_SQL: dict[str, str] = {
     "features_counts": f"WITH {_LABELLED_WORDS} SELECT doc_id, label, word, count(*) AS value FROM words GROUP BY ALL",
     "train_term_weights": _TERM_WEIGHTS,
     "train_term_weights_by_join": _TERM_WEIGHTS,
+    "train_all_passes": f"""WITH {_PLAIN_ROWS} {_training(ALL_PASSES)}, {_sums(ALL_PASSES)}
+        SELECT word, label, round(f, 4) AS f FROM f{ALL_PASSES}""",
     "train_document_weights": f"""WITH {_PLAIN_TRAINING}
         SELECT doc AS doc_id, label, round(w, 6) AS weight FROM weight{PASSES}""",
     "class_distribution": _DISTRIBUTION,

@@ -305,6 +305,12 @@ def train_term_weights_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trained.terms.select("word", "label", _rounded("f"))
 
 
+def train_all_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many passes as training takes unless told otherwise."""
+    trained = training.train(_labelled_tokens(spark, sf_dir))
+    return trained.terms.select("word", "label", F.round("f", 4).alias("f"))
+
+
 def train_document_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = _labelled_tokens(spark, sf_dir)
     steps = training.training_passes(texts)
@@ -435,6 +441,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "features_counts": features_counts,
     "train_term_weights": train_term_weights,
     "train_term_weights_by_join": train_term_weights_by_join,
+    "train_all_passes": train_all_passes,
     "train_document_weights": train_document_weights,
     "class_distribution": class_distribution,
     "class_distribution_by_join": class_distribution_by_join,

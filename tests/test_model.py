@@ -107,6 +107,7 @@ def test_save_and_load(spark, unseen, trained, tmp_path):
 
 def test_model_too_large_for_tasks(spark, texts, unseen, monkeypatch):
     monkeypatch.setattr(model, "MAX_CELLS", 0)
+    monkeypatch.setattr(training, "MAX_CELLS", 0)
     trained = training.train(texts, passes=2)
     assert trained.cells is None
     assert model.with_distribution(unseen, trained).count() == 5
