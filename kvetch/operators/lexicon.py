@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kvetch.functions.rows import explode_rows
-from kvetch.operators.lookup import hinted
+from kvetch.operators.lookup import lookup_join
 
 UNKNOWN = "x"
 
@@ -26,6 +26,6 @@ def tag_tokens(df: DataFrame, tokens: str, lexicon: DataFrame) -> DataFrame:
     """One row per token: the other columns, ``pos``, ``word`` and ``nature``."""
     kept = [column for column in df.columns if column != tokens]
     words = explode_rows(df, tokens, "word", *kept, pos="pos")
-    return words.join(hinted(lexicon.select("word", "nature")), "word", "left").select(
+    return lookup_join(words, lexicon.select("word", "nature"), "left").select(
         *kept, "pos", "word", F.coalesce("nature", F.lit(UNKNOWN)).alias("nature")
     )

@@ -22,6 +22,8 @@ MAX_ROWS = 1_000_000
 MAX_BYTES = 128 << 20
 # Word lists up to this length become literals of the plan.
 MAX_LITERALS = 5_000
+# Rows of one join key that one task may get.
+HOT_ROWS = 1_000_000
 
 
 def fits(table: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> bool:
@@ -45,9 +47,40 @@ def small_table(
     return table.toArrow() if fits(table, max_rows, max_bytes) else None
 
 
-def hinted(table: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> DataFrame:
-    """Broadcast the table in a join if it is within the limits."""
-    return F.broadcast(table) if fits(table, max_rows, max_bytes) else table
+def skewed_join(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
+    """Join in which one key may hold any share of the left rows.
+
+    Rows of a key beyond ``HOT_ROWS`` are dealt out over as many salts as it takes, and
+    the right side's few rows of that key are repeated for each salt. Hot keys number at
+    most the left rows divided by ``HOT_ROWS``, which bounds what is broadcast.
+    """
+    counts = left.groupBy(F.col(key).alias("_hot")).agg(F.count("*").alias("rows"))
+    hot = F.broadcast(
+        counts.where(F.col("rows") > HOT_ROWS).select("_hot", F.ceil(F.col("rows") / HOT_ROWS).alias("_salts"))
+    )
+
+    def with_salts(side: DataFrame) -> DataFrame:
+        # Null-safe, as NULL keys can be hot too.
+        marked = side.join(hot, F.col(key).eqNullSafe(F.col("_hot")), "left").drop("_hot")
+        return marked.withColumn("_salts", F.coalesce("_salts", F.lit(1).cast("long")))
+
+    # By content and partition, so that a task run again deals its rows out as before.
+    content = [column for column in left.columns if not isinstance(left.schema[column].dataType, T.MapType)]
+    dealt = with_salts(left).withColumn(
+        "_salt",
+        F.when(F.col("_salts") > 1, F.pmod(F.xxhash64(F.spark_partition_id(), *content), "_salts")).otherwise(0),
+    ).drop("_salts")
+    repeated = explode_rows(
+        with_salts(right), F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1), "_salt", *right.columns
+    )
+    return dealt.join(repeated, [key, "_salt"], how).drop("_salt")
+
+
+def lookup_join(left: DataFrame, table: DataFrame, how: str) -> DataFrame:
+    """Join on ``word``: the table is broadcast if it is within the limits."""
+    if fits(table):
+        return left.join(F.broadcast(table), "word", how)
+    return skewed_join(left, table, "word", how)
 
 
 def fingerprint(tokens: Column) -> Column:
@@ -72,12 +105,10 @@ def matches(df: DataFrame, tokens: str, table: DataFrame, how: str = "inner") ->
     """``print``, ``copies``, ``pos``, ``word`` of the tokens of each distinct array that
     match ``table``.
 
-    Other columns of the table follow. Hot words make hot join keys only where the table
-    was too large to broadcast; there adaptive execution splits the hot partitions, as
-    the table's side has few rows per word.
+    Other columns of the table follow.
     """
     words = explode_rows(distinct_arrays(df, tokens), "tokens", "word", "print", "copies", pos="pos")
-    return words.join(hinted(table), "word", how)
+    return lookup_join(words, table, how)
 
 
 def with_matches(df: DataFrame, tokens: str, table: DataFrame, name: str, how: str = "inner") -> DataFrame:
@@ -88,7 +119,7 @@ def with_matches(df: DataFrame, tokens: str, table: DataFrame, name: str, how: s
         F.array_sort(F.collect_list(F.struct("pos", *payload))).alias(name)
     )
     keyed = df.withColumn("print", fingerprint(F.col(tokens)))
-    return keyed.join(listed, "print", "left").drop("print").withColumn(
+    return skewed_join(keyed, listed, "print", "left").drop("print").withColumn(
         name, F.coalesce(name, F.array())
     )
 

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kvetch.functions.rows import explode_rows
-from kvetch.operators.lookup import fingerprint, fits, hinted
+from kvetch.operators.lookup import fingerprint, fits, lookup_join, skewed_join
 
 # The answer for a text without any known word, the number of ranked classes.
 NO_WORDS_CLASS = "-100"
@@ -59,7 +59,7 @@ class Model:
     """Word weights per class, and the few numbers per class.
 
     The weights are a table (word, label, f), or ``words`` with a matrix of one column per
-    class where they are known to be few.
+    class where they are known to be few. ``folder`` is where training wrote the table.
     """
 
     spark: SparkSession
@@ -70,6 +70,7 @@ class Model:
     smoothing: float = 1.0
     table: DataFrame | None = field(default=None, repr=False)
     cells: tuple[pa.Array, np.ndarray] | None = field(default=None, repr=False)
+    folder: str | None = None
 
     @property
     def prior(self) -> list[float]:
@@ -186,9 +187,7 @@ def score_by_join(df: DataFrame, tokens: str, model: Model) -> DataFrame:
 
     Texts with the same tokens share their sums, so these are divided by the number of
     such texts, which one extra NULL token per text counts. Sums are formed before the
-    shuffle: what moves is one short row per text, never its tokens. If the weights
-    cannot be broadcast, hot words are hot join keys on the tokens' side only, which
-    adaptive execution splits.
+    shuffle: what moves is one short row per text, never its tokens.
     """
     classes = range(len(model.classes))
     base = model.base
@@ -199,14 +198,15 @@ def score_by_join(df: DataFrame, tokens: str, model: Model) -> DataFrame:
     words = explode_rows(df, marked, "word", fingerprint(F.col(tokens)).alias("print"), nulls=True)
     copies = F.count_if(F.col("word").isNull())
     sums = (
-        words.join(hinted(weights), "word", "left")
+        lookup_join(words, weights, "left")
         .groupBy("print")
         .agg(
             (F.count("w0") / copies).cast("int").alias("known"),
             F.array(*[F.coalesce(F.sum(f"w{c}"), F.lit(0.0)) / copies for c in classes]).alias("sums"),
         )
     )
-    joined = df.withColumn("print", fingerprint(F.col(tokens))).join(sums, "print", "left").drop("print")
+    keyed = df.withColumn("print", fingerprint(F.col(tokens)))
+    joined = skewed_join(keyed, sums, "print", "left").drop("print")
     start = F.array(*[F.lit(value) for value in model.prior])
     scored = joined.withColumn("_scores", F.zip_with("sums", start, lambda left, right: left + right))
     shares = scored.withColumn(

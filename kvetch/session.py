@@ -40,6 +40,13 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder written below :func:`scratch_folder`."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Use all cores when the input has fewer splits than the cluster has cores.
 

@@ -9,6 +9,11 @@ from kvetch.functions.lines import split_label, tab_fields
 from kvetch.session import java_charsets, spread
 
 
+# The id of a line that has no label, and of any line of a file without labels.
+NO_LABEL_ID = "noclassid"
+UNLABELLED_ID = "-100"
+
+
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``line`` and ``seq`` of text files, each file as UTF-8 or else as GBK.
 
@@ -78,5 +83,5 @@ def last_label_per_text(lines: DataFrame) -> DataFrame:
 def lines_to_score(lines: DataFrame, has_label: bool) -> DataFrame:
     """``id`` and ``text``: the id is the label, or a fixed mark where there is none."""
     if has_label:
-        return _with_label(lines, "noclassid").withColumnRenamed("label", "id")
-    return lines.withColumn("id", F.lit("-100")).withColumnRenamed("line", "text")
+        return _with_label(lines, NO_LABEL_ID).withColumnRenamed("label", "id")
+    return lines.withColumn("id", F.lit(UNLABELLED_ID)).withColumnRenamed("line", "text")

@@ -133,3 +133,12 @@ def test_features(spark):
     assert {r["word"] for r in features.selected_words(texts, min_total=5).collect()} == set(words)
     kept = texts.select(features.usable_words("tokens").alias("tokens")).collect()
     assert [row["tokens"] for row in kept] == [["a" * 19, "x", "x"], ["x"]]
+
+
+@pytest.mark.parametrize("in_tasks", [True, False])
+def test_only_the_tables_in_use_stay(spark, texts, in_tasks, monkeypatch, tmp_path):
+    monkeypatch.setattr(training, "scratch_folder", lambda *_: str(tmp_path / "train"))
+    trained = training.train(texts, passes=3, in_tasks=in_tasks)
+    left = sorted(path.name for path in (tmp_path / "train").iterdir())
+    assert left == ([] if in_tasks else ["pass-3"])
+    assert trained.terms.count() > 0

@@ -69,3 +69,32 @@ def test_scratch_folder_follows_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     assert first.startswith(root.rstrip("/") + "/x-")
     assert first != second
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_hot_keys_are_dealt_out(spark, monkeypatch, how):
+    rows = [(i, "hot" if i % 3 else f"w{i}") for i in range(300)] + [(i, None) for i in range(300, 400)]
+    left = spark.createDataFrame(rows, "id int, word string")
+    right = spark.createDataFrame([("hot", "a"), ("w3", "b"), ("w9", "c")], "word string, nature string")
+    expected = left.join(right, "word", how)
+    monkeypatch.setattr(lookup, "HOT_ROWS", 7)
+    found = lookup.skewed_join(left, right, "word", how)
+    assert found.columns == expected.columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+
+
+def test_tables_too_large_to_broadcast(spark, monkeypatch):
+    from kvetch.operators import lexicon, pairs, segment
+
+    texts = spark.createDataFrame([(i, ["a", "b", "a", "c"]) for i in range(20)], "id int, tokens array<string>")
+    table = spark.createDataFrame([("a", "n"), ("b", "v")], "word string, nature string")
+    monkeypatch.setattr(lookup, "fits", lambda *_: False)
+    monkeypatch.setattr(lookup, "HOT_ROWS", 3)
+    tagged = lexicon.tag_tokens(texts, "tokens", table).groupBy("nature").count().collect()
+    assert {row["nature"]: row["count"] for row in tagged} == {"n": 40, "v": 20, "x": 20}
+    counted = pairs.noun_predicate_pairs(texts, table, in_tasks=False).collect()
+    assert [tuple(row) for row in counted] == [("a-b", "n-v", 40)]
+    solid = spark.createDataFrame([(i, "abac") for i in range(20)], "id int, text string")
+    words = spark.createDataFrame([("ab",), ("ac",)], "word string")
+    cut = segment.segment(solid, "text", words, in_tasks=False).collect()
+    assert [row["tokens"] for row in cut] == [["ab", "ac"]] * 20
