@@ -84,8 +84,8 @@ def lookup_join(left: DataFrame, table: DataFrame, how: str) -> DataFrame:
 
 
 def fingerprint(tokens: Column) -> Column:
-    """Key of a token array; tokens hold letters only, so the separator is safe."""
-    return F.md5(F.concat_ws("\u0001", tokens))
+    """Key of a token array: its size and its tokens, with a separator no word holds."""
+    return F.md5(F.concat_ws("\u0001", F.size(tokens).cast("string"), tokens))
 
 
 def distinct_arrays(df: DataFrame, tokens: str) -> DataFrame:
