@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kvetch.llm import packing, quality_gam, url_digests
+from kvetch.llm import packing, quality_gam, suffix_dedup, url_digests
 from kvetch.llm.common import read
 
 RULES = [
@@ -29,6 +29,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "documents", "doc_id", "text")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
 
@@ -43,7 +47,7 @@ def op9_url_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_packing, op6_quality_gam, op9_url_digests)
+    f.__name__: f for f in (op1_suffix_dedup, op5_packing, op6_quality_gam, op9_url_digests)
 }
 
 _RULE_ROWS = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in RULES)
