@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kvetch.llm import minmax_hash, packing, quality_gam, suffix_dedup, url_digests
+from kvetch.llm import backoff_lm, minmax_hash, packing, quality_gam, suffix_dedup, url_digests
 from kvetch.llm.common import read
 
 RULES = [
@@ -45,13 +45,17 @@ def op7_minmax_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_hash.near_duplicates(documents(spark, sf_dir))
 
 
+def op8_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff_lm.score(documents(spark, sf_dir))
+
+
 def op9_url_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
     return url_digests.judge(read(spark, sf_dir, "pages", "page_id", "url"), rules, BLOCKED_LABELS)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_dedup, op5_packing, op6_quality_gam, op7_minmax_hash, op9_url_digests)
+    f.__name__: f for f in (op1_suffix_dedup, op5_packing, op6_quality_gam, op7_minmax_hash, op8_backoff_lm, op9_url_digests)
 }
 
 _RULE_ROWS = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in RULES)
