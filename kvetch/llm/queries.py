@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kvetch.llm import backoff_lm, license_scan, minmax_hash, packing, quality_gam, suffix_dedup, syncmers, url_digests
+from kvetch.llm import backoff_lm, license_scan, minmax_hash, packing, quality_gam, suffix_dedup, syncmers, url_digests, vector_graph
 from kvetch.llm.common import read
 
 RULES = [
@@ -41,6 +41,10 @@ def op3_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.compare_with_next(documents(spark, sf_dir))
 
 
+def op4_vector_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_graph.near_duplicates(read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
 
@@ -63,7 +67,7 @@ def op9_url_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_dedup, op2_license_scan, op3_syncmers, op5_packing, op6_quality_gam, op7_minmax_hash, op8_backoff_lm, op9_url_digests)
+    f.__name__: f for f in (op1_suffix_dedup, op2_license_scan, op3_syncmers, op4_vector_graph, op5_packing, op6_quality_gam, op7_minmax_hash, op8_backoff_lm, op9_url_digests)
 }
 
 _RULE_ROWS = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in RULES)
