@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kvetch.llm import backoff_lm, license_scan, minmax_hash, packing, quality_gam, suffix_dedup, syncmers, url_digests, vector_graph
+from kvetch.llm import backoff_lm, license_scan, minmax_hash, packing, piece_lattice, quality_gam, suffix_dedup, syncmers, url_digests, vector_graph
 from kvetch.llm.common import read
 
 RULES = [
@@ -66,8 +66,13 @@ def op9_url_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_digests.judge(read(spark, sf_dir, "pages", "page_id", "url"), rules, BLOCKED_LABELS)
 
 
+def op10_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = tokenizer_path("piece_bpe_32k.model")
+    return piece_lattice.digest(piece_lattice.encode(documents(spark, sf_dir), model), model)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_dedup, op2_license_scan, op3_syncmers, op4_vector_graph, op5_packing, op6_quality_gam, op7_minmax_hash, op8_backoff_lm, op9_url_digests)
+    f.__name__: f for f in (op1_suffix_dedup, op2_license_scan, op3_syncmers, op4_vector_graph, op5_packing, op6_quality_gam, op7_minmax_hash, op8_backoff_lm, op9_url_digests, op10_piece_lattice)
 }
 
 _RULE_ROWS = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in RULES)
