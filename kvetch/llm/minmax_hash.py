@@ -205,8 +205,9 @@ def linked_edges(documents: DataFrame, signed: DataFrame, size: int, percent: in
                     names=["doc_id", "cluster", "degree", "keys"],
                 )
 
+    # Candidates grow with the documents and aren't broadcast at any size.
     sets = written(
-        documents.join(found, "doc_id").select("doc_id", "cluster", "degree", "text").mapInArrow(
+        documents.join(found.hint("merge"), "doc_id").select("doc_id", "cluster", "degree", "text").mapInArrow(
             with_keys, "doc_id long, cluster long, degree long, keys binary"
         ),
         "sets",
@@ -280,4 +281,4 @@ def near_duplicates(
 def keep_one(documents: DataFrame, size: int = 5, percent: int = PERCENT) -> DataFrame:
     """The documents that stay, one of each group, with their columns."""
     gone = near_duplicates(documents, size, percent).where(~F.col("kept")).select("doc_id").distinct()
-    return documents.join(gone, "doc_id", "left_anti").select(*documents.columns)
+    return documents.join(gone.hint("merge"), "doc_id", "left_anti").select(*documents.columns)
