@@ -226,9 +226,9 @@ def train(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROW
     return fit(x[order], (y[order] > 0).astype(np.float64))
 
 
-def with_score(documents: DataFrame, model: Model) -> DataFrame:
-    """The documents with ``score``; ``text`` has to be among their columns, ``score`` not."""
-    schema = T.StructType([*documents.schema.fields, T.StructField("score", T.DoubleType())])
+def with_score(documents: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """The documents with the column ``name``; ``text`` has to be among theirs, ``name`` not."""
+    schema = T.StructType([*documents.schema.fields, T.StructField(name, T.DoubleType())])
     names = schema.names
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,5 +251,6 @@ def classify(documents: DataFrame, labels: DataFrame, threshold: float = THRESHO
 
 def keep_good(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that aren't rejected, with their columns."""
-    packed = documents.select(F.struct(*documents.columns).alias("row"), F.col("text"))
-    return with_score(packed, train(documents, labels)).where(F.col("score") >= threshold).select("row.*")
+    name = max([*documents.columns, "score"], key=len) + "_"  # longer than any other
+    scored = with_score(documents, train(documents, labels), name)
+    return scored.where(F.col(name) >= threshold).select(*documents.columns)
