@@ -1,0 +1,223 @@
+"""Packing, URL filters, piece lattice and the pipeline."""
+
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+import texts
+
+import corpus_pipeline
+from kvetch.llm import packing, piece_lattice, queries, url_digests
+
+WORD_MODEL, PIECE_MODEL = queries.tokenizer_path("word_bpe_49k.json"), queries.tokenizer_path("piece_bpe_32k.model")
+HARD = [
+    (1, "It's  <|endoftext|> The END.\u0301 e\u0301 \u212aelvin\u00a0x 12a3 'S \u1e9e"), (2, "a" * 9000), (3, "\u0130 I\u0307 \u03a3\u03c2"), (4, "wow!!! (x) \u4f60\u597d"),
+]
+
+
+def test_pieces_hold_each_id_once(spark, rows):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(WORD_MODEL)
+    cases = [r for r in rows if r[0] is not None and r[0] not in (1004, 1005)] + HARD[1:] + [(5000, HARD[0][1])]
+    cases = list({i: (i, t) for i, t in cases}.values())
+    got = packing.pack(texts.table(spark, cases), WORD_MODEL, with_ids=True).collect()
+    by_id = {}
+    for r in sorted(got, key=lambda r: r["start"]):
+        by_id.setdefault(r["doc_id"], []).append(r)
+    for i, t in cases:
+        want = [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1]
+        pieces = by_id[i]
+        assert [x for p in pieces for x in p["ids"]] == want, t
+        assert [p["start"] for p in pieces] == np.cumsum([0, *[p["length"] for p in pieces]])[:-1].tolist()
+        for p in pieces:
+            assert p["doc_tokens"] == len(want) and p["length"] == 1 << p["bucket"] and p["offset"] == 0
+            assert p["ids_crc32"] == zlib.crc32(np.array(p["ids"], "<u4").tobytes())
+        assert sum(p["length"] < packing.FULL for p in pieces) == bin(len(want) % packing.FULL).count("1")
+    assert len({r["sequence_id"] for r in got}) == len(got)
+
+
+def test_packing_stands_odd_rows(documents, nothing):
+    got = packing.pack(documents, WORD_MODEL).collect()
+    assert {r["doc_id"] for r in got} == {r["doc_id"] for r in documents.select("doc_id").collect()}
+    assert [(r["length"], r["doc_tokens"]) for r in got if r["doc_id"] in (1001, 1002, 1003)] == [(1, 1)] * 3
+    assert packing.pack(nothing, WORD_MODEL).count() == 0
+
+
+def judged(url, rules, labels, default="allow"):
+    host = path = ""
+    if url and "://" in url:
+        rest = url.split("://", 1)[1]
+        end = min([rest.find(c) for c in "/?#" if c in rest] or [len(rest)])
+        host, path = rest[:end].translate(texts.LOWER), rest[end:]
+        path = path[: min([path.find(c) for c in "?#" if c in path] or [len(path)])]
+    fits = [
+        (len(h + p), len(h), h + p, v) for h, p, v in rules if ("." + host).endswith("." + h) and path.startswith(p) and (host or not h)
+    ]
+    hit = sorted(set(host.split(".")) & set(labels))
+    if fits:
+        return (host, path, max(fits)[2], max(fits)[3], hit[0] if hit else None)
+    return (host, path, None, "block" if hit else default, hit[0] if hit else None)
+
+
+URLS = [
+    "http://example.org/es/1", "https://A.Example.ORG/en/12?x#y", "http://example.org/en/2", "ftp://x.com/fr/", "http://com/de/a", "http://notcom/de/a",
+    "http://spam-farm.example.net/", "http://www.cheap-pills.org", "http://cheap-pills.x.com/fr/1", "no scheme", "", None, "http://", "x://y://z/es/",
+    "http://example.org", "http://example.org?es/", "http://example.org\n/es/", "http://" + "a." * 3000 + "example.org/es/" + "b" * 5000, "http://.org/",
+]
+
+
+@pytest.mark.parametrize("way", ["judge", "judge_by_join"])
+def test_urls_are_judged_by_the_longest_rule(spark, way):
+    rules = spark.createDataFrame(queries.RULES, "host string, path string, verdict string")
+    pages = spark.createDataFrame([(k, u, "<html>", "x") for k, u in enumerate(URLS)], "page_id long, url string, html string, rule string")
+    if way == "judge":
+        got = url_digests.judge(pages, rules, queries.BLOCKED_LABELS)
+    else:
+        from pyspark.sql import functions as F
+
+        urls = pages.select("page_id", url_digests.host(F.col("url")).alias("host"), url_digests.path(F.col("url")).alias("path"))
+        got = url_digests.judge_by_join(urls, rules, queries.BLOCKED_LABELS, "allow")
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(
+        ((k, *judged(u, queries.RULES, queries.BLOCKED_LABELS)) for k, u in enumerate(URLS)), key=repr
+    )
+    assert url_digests.judge(pages.limit(0), rules).count() == 0
+
+
+def test_odd_rules(spark):
+    rules = spark.createDataFrame(
+        [("a.org", "/", "allow"), ("A.org", "/", "block"), (None, "/", "block"), ("b.org", None, "block"), ("c.org", "/", None)],
+        "host string, path string, verdict string",
+    )
+    pages = spark.createDataFrame([(1, "http://a.org/"), (2, "http://b.org/"), (3, "http://c.org/")], "page_id long, url string")
+    assert {r["page_id"]: r["verdict"] for r in url_digests.judge(pages, rules).collect()} == {1: "block", 2: "allow", 3: "allow"}
+
+
+def test_digests_that_collide_are_told_apart():
+    strings = [f"host{k}.org/" for k in range(300)]
+    few = lambda raw: zlib.crc32(raw) % 7
+    array = url_digests.DigestArray(url_digests.DigestArray.pack(strings, range(300), few))
+    found = array.find([x.encode() for x in strings] + [b"other", b""], few)
+    assert found.tolist() == [*range(300), -1, -1]
+    empty = url_digests.DigestArray(url_digests.DigestArray.pack([], []))
+    assert empty.find([b"x"]).tolist() == [-1] and empty.find([]).tolist() == []
+
+
+def best_path(pieces, scores, text):
+    """One pass over a whole text."""
+    if not text:
+        return []
+    text = " " + text.replace("\u2581", " ")
+    best, back = [0] + [None] * len(text), [None] * (len(text) + 1)
+    for i in range(len(text)):
+        for n in range(1, min(pieces.longest, len(text) - i) + 1):
+            score, piece = scores.get(text[i : i + n], (pieces.unknown_score, -1) if n == 1 else (None, None))
+            if score is not None and (best[i + n] is None or best[i] + score > best[i + n]):
+                best[i + n], back[i + n] = best[i] + score, (i, piece)
+    out, at = [], len(text)
+    while at:
+        i, piece = back[at]
+        out.append([piece] if piece >= 0 else [int(pieces.byte_ids[b]) for b in text[i:at].encode()])
+        at = i
+    return [x for step in out[::-1] for x in step]
+
+
+@pytest.fixture(scope="module")
+def lattice():
+    pieces = piece_lattice.Pieces(PIECE_MODEL)
+    scores = {}
+    for node, k in enumerate(pieces.ids.tolist()):
+        if k >= 0:
+            scores[pieces.texts[k].decode()] = (int(pieces.scores[node]), k)
+    return pieces, scores
+
+
+@pytest.mark.parametrize("chunk", [16, 37, 300, 32768])
+def test_lattice_equals_one_pass_and_decodes(spark, rows, lattice, chunk):
+    rng = random.Random(chunk)
+    cases = [(i, (t or "")[:700]) for i, t in rows if i is not None and i not in (1004, 1005)] + [
+        (3000, "  two  spaces \n\n and lines \n"), (3001, " " * 90), (3002, "".join(rng.choices("theraino", k=500))), (3003, "\u2581x \u2581\u2581y"),
+        (3004, "\U0001f600" * 40), (3005, "\ue000 private \ue001" * 9), (3006, "\n" * 50), (3007, "a" * 16 + " " + "b" * 31),
+    ]
+    encoded = piece_lattice.encode(texts.table(spark, cases), PIECE_MODEL, chunk)
+    parts = {}
+    for r in sorted(encoded.collect(), key=lambda r: r["part"]):
+        assert len(parts.setdefault(r["doc_id"], [])) == r["part"] < r["n_parts"]
+        parts[r["doc_id"]].append(r["ids"])
+    decoded = {}
+    for r in sorted(piece_lattice.decode(encoded, PIECE_MODEL).collect(), key=lambda r: r["part"]):
+        decoded[r["doc_id"]] = decoded.get(r["doc_id"], "") + r["text"]
+    for i, t in cases:
+        assert [x for p in parts[i] for x in p] == best_path(*lattice, t), (i, t[:60])
+        assert decoded[i] == t.replace("\u2581", " ")
+    assert (max(len(p) for p in parts.values()) > 1) == (chunk < 1000)
+
+
+def test_lattice_agrees_with_the_library_read_as_unigrams(tmp_path):
+    """On scores that single precision, which the library sums in, holds exactly."""
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2
+
+    model = sentencepiece_model_pb2.ModelProto()
+    with open(PIECE_MODEL, "rb") as file:
+        model.ParseFromString(file.read())
+    model.trainer_spec.model_type = model.trainer_spec.UNIGRAM
+    for piece in model.pieces:
+        piece.score = max(piece.score, -40000)
+    path = str(tmp_path / "unigrams.model")
+    with open(path, "wb") as file:
+        file.write(model.SerializeToString())
+    theirs, ours = sentencepiece.SentencePieceProcessor(model_file=path), piece_lattice.Words(path)
+    rng = random.Random(7)
+    found = sorted({w for _ in range(300) for w in texts.sentence(rng, 20).split(" ")} | {"Hello", "internationalization", "a b  c"})
+    ids, starts = ours.encode(pa.array([" " + w for w in found]))
+    assert [ids[a:b].tolist() for a, b in zip(starts[:-1], starts[1:], strict=True)] == theirs.encode(found)
+
+
+def test_transfer_matrices_combine_in_any_grouping():
+    words = piece_lattice.Words(PIECE_MODEL)
+    rng = random.Random(5)
+    text = " " + "".join(rng.choices("theraino  \n", k=119))
+    a, b, c = (words.matrix(text[k : k + 40], text[k + 40 : k + 55]) for k in (0, 40, 80))
+
+    def product(x, y):
+        out = (x[:, :, None] + y[None, :, :]).max(1)
+        return np.where(out <= piece_lattice.NONE // 2, piece_lattice.NONE, out)
+
+    assert (product(product(a, b), c) == product(a, product(b, c))).all()
+    whole = piece_lattice.solve(words.pieces, [text])
+    assert product(product(a, b), c)[0, 0] == whole.best[len(text)]
+
+
+def test_lattice_of_an_empty_table(nothing):
+    assert piece_lattice.digest(piece_lattice.encode(nothing, PIECE_MODEL), PIECE_MODEL).count() == 0
+
+
+def test_stages_take_effect(spark, tmp_path, rows):
+    from test_scores import labelled
+
+    extra, labels = labelled(200)
+    cases = [(i, t, "en", "s", len(t or "")) for i, t in rows] + [(2000 + i, t, "en", "s", len(t)) for i, t in extra]
+    columns = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(cases, columns).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(2000 + i, q, t) for i, q, t in labels], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    held = [docs]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, held[-1], str(tmp_path))
+        assert out.columns == docs.columns, name
+        out.write.parquet(str(tmp_path / name))
+        held.append(spark.read.parquet(str(tmp_path / name)))
+    good, apart, cut = ([(r["doc_id"], r["text"]) for r in h.collect()] for h in held[1:])
+    bad = {2000 + i for i, q, _ in labels if not q}
+    assert len(bad & {i for i, _ in good}) <= len(bad) // 10
+    kept = {i for i, _, _, k in texts.near_duplicates(good, 5) if k}
+    assert sorted((i for i, _ in apart), key=repr) == sorted((i for i, _ in good if i in kept), key=repr)
+    want = [(i, b.decode("utf-8", "ignore")) for i, _, m, _, b in texts.repeats(apart) if not m or b]
+    assert sorted(((i, t or "") for i, t in cut), key=repr) == sorted(want, key=repr)
+    final = corpus_pipeline.run(spark, str(tmp_path))
+    assert {r["doc_id"] for r in final.select("doc_id").collect()} == {i for i, _ in cut}
