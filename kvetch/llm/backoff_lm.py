@@ -160,7 +160,7 @@ def score(documents: DataFrame, order: int = ORDER, strength: float = STRENGTH)
         documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out(F.col("doc_id")).alias("held_out")),
         "doc_id", "text",
     )
-    buckets = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 2
+    buckets = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     by_block = dealt.groupBy("block")
     asked = by_block.applyInArrow(lambda table: requests(table, buckets, order), REQUEST)
     answered = asked.groupBy("size", "bucket").applyInArrow(
