@@ -5,21 +5,24 @@ Inputs hold ``label`` and ``tokens``; features also keep the key columns they ar
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kvetch.functions.rows import explode_rows
 from kvetch.functions.text import FEATURE_STOP_WORDS, without_words
+from kvetch.operators.lookup import lookup_join
 
 # Words of this length or longer are no features; this class is always kept.
 MAX_WORD_LENGTH = 20
 KEPT_CLASS = "1"
 
 
-def usable_words(tokens: str = "tokens"):
+def usable_words(tokens: str = "tokens", stop_words: Iterable[str] = FEATURE_STOP_WORDS) -> Column:
     """The tokens that feature selection lets through."""
     short = F.filter(tokens, lambda word: F.length(word) < MAX_WORD_LENGTH)
-    return without_words(short, FEATURE_STOP_WORDS)
+    return without_words(short, stop_words)
 
 
 def word_class_counts(texts: DataFrame) -> DataFrame:
@@ -32,9 +35,9 @@ def word_class_counts(texts: DataFrame) -> DataFrame:
     )
 
 
-def selected_words(texts: DataFrame, min_total: int = 1) -> DataFrame:
+def selected_words(texts: DataFrame, min_total: int = 1, stop_words: Iterable[str] = FEATURE_STOP_WORDS) -> DataFrame:
     """Feature words with their total count and the number of classes they occur in."""
-    counts = word_class_counts(texts).where(~F.col("word").isin(*FEATURE_STOP_WORDS))
+    counts = word_class_counts(texts).where(~F.col("word").isin(*stop_words))
     return (
         counts.groupBy("word")
         .agg(
@@ -59,20 +62,26 @@ def class_prior(texts: DataFrame) -> DataFrame:
     return counts.select("label", "texts", (F.col("texts") / total.scalar()).alias("share"))
 
 
-def binary_features(texts: DataFrame) -> DataFrame:
-    """One row per text and distinct word, with value 1. Needs no shuffle."""
+def _feature_words(texts: DataFrame, tokens: Column | str, vocabulary: DataFrame | None) -> DataFrame:
+    """The other columns and one row per token, of the ``vocabulary`` (column ``word``) if one is given."""
     kept = [name for name in texts.columns if name != "tokens"]
-    return explode_rows(texts, F.array_distinct("tokens"), "word", *kept).withColumn(
-        "value", F.lit(1).cast("long")
-    )
+    words = explode_rows(texts, tokens, "word", *kept)
+    return words if vocabulary is None else lookup_join(words, vocabulary.select("word"), "left_semi").select(*kept, "word")
 
 
-def count_features(texts: DataFrame) -> DataFrame:
+def binary_features(texts: DataFrame, vocabulary: DataFrame | None = None) -> DataFrame:
+    """One row per text and distinct word, with value 1. Needs no shuffle of texts.
+
+    With a ``vocabulary`` other words are no features, as a model's words are for new texts.
+    """
+    return _feature_words(texts, F.array_distinct("tokens"), vocabulary).withColumn("value", F.lit(1).cast("long"))
+
+
+def count_features(texts: DataFrame, vocabulary: DataFrame | None = None) -> DataFrame:
     """One row per text and distinct word with its number of occurrences.
 
     The columns besides ``tokens`` have to tell texts apart. Repeats are combined before
-    the shuffle.
+    the shuffle. With a ``vocabulary`` other words are no features.
     """
-    kept = [name for name in texts.columns if name != "tokens"]
-    words = explode_rows(texts, "tokens", "word", *kept)
-    return words.groupBy(*kept, "word").agg(F.count("*").alias("value"))
+    words = _feature_words(texts, "tokens", vocabulary)
+    return words.groupBy(*words.columns).agg(F.count("*").alias("value"))

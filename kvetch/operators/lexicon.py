@@ -11,6 +11,11 @@ from kvetch.operators.lookup import lookup_join
 UNKNOWN = "x"
 
 
+def one_nature_per_word(lexicon: DataFrame) -> DataFrame:
+    """A lexicon in which each word stands once; of several natures the smallest is taken."""
+    return lexicon.where("word is not null").groupBy("word").agg(F.min("nature").alias("nature"))
+
+
 def with_user_words(lexicon: DataFrame, user_words: DataFrame) -> DataFrame:
     """Add words to a lexicon; a user's row replaces the lexicon's row for that word."""
     both = lexicon.select("word", "nature", F.lit(False).alias("user")).unionByName(
@@ -23,9 +28,9 @@ def with_user_words(lexicon: DataFrame, user_words: DataFrame) -> DataFrame:
 
 
 def tag_tokens(df: DataFrame, tokens: str, lexicon: DataFrame) -> DataFrame:
-    """One row per token: the other columns, ``pos``, ``word`` and ``nature``."""
+    """One row per token: the other columns, ``pos``, ``word`` and its one ``nature``."""
     kept = [column for column in df.columns if column != tokens]
     words = explode_rows(df, tokens, "word", *kept, pos="pos")
-    return lookup_join(words, lexicon.select("word", "nature"), "left").select(
+    return lookup_join(words, one_nature_per_word(lexicon), "left").select(
         *kept, "pos", "word", F.coalesce("nature", F.lit(UNKNOWN)).alias("nature")
     )

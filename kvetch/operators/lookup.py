@@ -7,10 +7,14 @@ joined on the word, and its matches are collected again per array.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import add
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,8 +26,6 @@ MAX_ROWS = 1_000_000
 MAX_BYTES = 128 << 20
 # Word lists up to this length become literals of the plan.
 MAX_LITERALS = 5_000
-# Rows of one join key that one task may get.
-HOT_ROWS = 1_000_000
 
 
 def fits(table: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> bool:
@@ -47,40 +49,29 @@ def small_table(
     return table.toArrow() if fits(table, max_rows, max_bytes) else None
 
 
-def skewed_join(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
-    """Join in which one key may hold any share of the left rows.
+def finder(words: pa.Array) -> Callable[[pa.Array], np.ndarray]:
+    """Places of tokens in ``words``, -1 for unknown ones. The index is built once, here.
 
-    Rows of a key beyond ``HOT_ROWS`` are dealt out over as many salts as it takes, and
-    the right side's few rows of that key are repeated for each salt. Hot keys number at
-    most the left rows divided by ``HOT_ROWS``, which bounds what is broadcast.
+    Only the distinct tokens of a batch are looked up.
     """
-    counts = left.groupBy(F.col(key).alias("_hot")).agg(F.count("*").alias("rows"))
-    hot = F.broadcast(
-        counts.where(F.col("rows") > HOT_ROWS).select("_hot", F.ceil(F.col("rows") / HOT_ROWS).alias("_salts"))
-    )
+    index = pd.Index(words.to_numpy(zero_copy_only=False), dtype=object)
 
-    def with_salts(side: DataFrame) -> DataFrame:
-        # Null-safe, as NULL keys can be hot too.
-        marked = side.join(hot, F.col(key).eqNullSafe(F.col("_hot")), "left").drop("_hot")
-        return marked.withColumn("_salts", F.coalesce("_salts", F.lit(1).cast("long")))
-
-    # By content and partition, so that a task run again deals its rows out as before.
-    content = [column for column in left.columns if not isinstance(left.schema[column].dataType, T.MapType)]
-    dealt = with_salts(left).withColumn(
-        "_salt",
-        F.when(F.col("_salts") > 1, F.pmod(F.xxhash64(F.spark_partition_id(), *content), "_salts")).otherwise(0),
-    ).drop("_salts")
-    repeated = explode_rows(
-        with_salts(right), F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1), "_salt", *right.columns
-    )
-    return dealt.join(repeated, [key, "_salt"], how).drop("_salt")
+    def find(tokens: pa.Array) -> np.ndarray:
+        coded = tokens.dictionary_encode()
+        places = index.get_indexer(pd.Index(coded.dictionary.to_numpy(zero_copy_only=False), dtype=object))
+        codes = pc.fill_null(coded.indices, len(places)).to_numpy(zero_copy_only=False)
+        return np.append(places, -1)[codes]
+
+    return find
 
 
 def lookup_join(left: DataFrame, table: DataFrame, how: str) -> DataFrame:
-    """Join on ``word``: the table is broadcast if it is within the limits."""
-    if fits(table):
-        return left.join(F.broadcast(table), "word", how)
-    return skewed_join(left, table, "word", how)
+    """Join on ``word``: the table is broadcast if it is within the limits.
+
+    Beyond them both sides are shuffled, and adaptive execution splits the rows of a hot
+    word among tasks, as it can for any of the joins here.
+    """
+    return left.join(F.broadcast(table) if fits(table) else table, "word", how)
 
 
 def fingerprint(tokens: Column) -> Column:
@@ -119,17 +110,21 @@ def with_matches(df: DataFrame, tokens: str, table: DataFrame, name: str, how: s
         F.array_sort(F.collect_list(F.struct("pos", *payload))).alias(name)
     )
     keyed = df.withColumn("print", fingerprint(F.col(tokens)))
-    return skewed_join(keyed, listed, "print", "left").drop("print").withColumn(
+    return keyed.join(listed, "print", "left").drop("print").withColumn(
         name, F.coalesce(name, F.array())
     )
 
 
 def remove_words(df: DataFrame, tokens: str, words: DataFrame) -> DataFrame:
-    """Drop the tokens listed in the one-column table ``words``; order and repeats stay."""
+    """Drop the tokens listed in the one-column table ``words``; order and repeats stay.
+
+    NULL tokens become an empty array.
+    """
     listed = words.select(F.col(words.columns[0]).alias("word")).where("word is not null").distinct()
     few = small_table(listed, MAX_LITERALS)
     if few is not None:
         stop = few.column("word").to_pylist()
-        return df.withColumn(tokens, F.filter(tokens, lambda word: ~word.isin(stop))) if stop else df
+        held = F.coalesce(tokens, F.array().cast("array<string>"))
+        return df.withColumn(tokens, F.filter(held, lambda word: ~word.isin(stop)) if stop else held)
     kept = with_matches(df, tokens, listed, "_kept", "left_anti")
     return kept.withColumn(tokens, F.col("_kept.word")).drop("_kept")

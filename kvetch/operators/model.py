@@ -12,7 +12,7 @@ scores over the classes.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kvetch.functions.rows import explode_rows
-from kvetch.operators.lookup import fingerprint, fits, lookup_join, skewed_join
+from kvetch.operators.lookup import finder, fingerprint, fits, lookup_join
 
 # The answer for a text without any known word, the number of ranked classes.
 NO_WORDS_CLASS = "-100"
@@ -126,22 +126,26 @@ class Model:
         )
 
 
+def _known_places(find: Callable[[pa.Array], np.ndarray], texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Of a batch of token arrays: which text each known token is in, and its place."""
+    found = find(texts.flatten())
+    lengths = pc.fill_null(pc.list_value_length(texts), 0).to_numpy(zero_copy_only=False)
+    known = found >= 0
+    return np.repeat(np.arange(len(texts)), lengths)[known], found[known]
+
+
 def word_indexer(spark: SparkSession, words: pa.Array) -> Callable[[Column], Column]:
-    """Token arrays to arrays of the places their known words have in ``words``."""
+    """Token arrays to arrays of the places their known words have in ``words``; NULL to an empty one."""
     shared = spark.sparkContext.broadcast(words)
 
     @F.arrow_udf("array<int>")
-    def places(texts: pa.Array) -> pa.Array:
-        import numpy as np
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        found = pc.index_in(texts.flatten(), value_set=shared.value)
-        lengths = pc.fill_null(pc.list_value_length(texts), 0).to_numpy(zero_copy_only=False)
-        owner = np.repeat(np.arange(len(texts)), lengths)[found.is_valid().to_numpy(zero_copy_only=False)]
-        counts = np.bincount(owner, minlength=len(texts))
-        offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype("i4"))
-        return pa.ListArray.from_arrays(offsets, found.drop_null())
+    def places(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        find = finder(shared.value)
+        for texts in batches:
+            owner, place = _known_places(find, texts)
+            counts = np.bincount(owner, minlength=len(texts))
+            offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype("i4"))
+            yield pa.ListArray.from_arrays(offsets, pa.array(place.astype("i4")))
 
     return places
 
@@ -153,44 +157,60 @@ def shared_weights(model: Model) -> Broadcast:
     return model.spark.sparkContext.broadcast((logs, np.asarray(model.prior)))
 
 
+def _probabilities(owner: np.ndarray, place: np.ndarray, texts: int, logs: np.ndarray, prior: np.ndarray) -> pa.Array:
+    """Class probabilities of texts from the places of their known words."""
+    parts = [np.zeros((0, len(prior)))]
+    for start in range(0, texts, _TEXTS_PER_STEP):
+        size = min(_TEXTS_PER_STEP, texts - start)
+        low, high = np.searchsorted(owner, [start, start + size])
+        own, at = owner[low:high] - start, place[low:high]
+        scores = np.stack([np.bincount(own, column[at], size) for column in logs.T], axis=1) + prior
+        shares = np.exp(scores - scores.max(axis=1, keepdims=True))
+        parts.append(shares / shares.sum(axis=1, keepdims=True))
+    p = np.concatenate(parts)
+    offsets = pa.array(np.arange(len(p) + 1, dtype="i4") * len(prior))
+    return pa.ListArray.from_arrays(offsets, pa.array(p.ravel()))
+
+
 def place_scorer(shared: Broadcast) -> Callable[[Column], Column]:
     """Arrays of word places to class probabilities, with the weights sent to every task."""
-    step = _TEXTS_PER_STEP
-
     @F.arrow_udf("array<double>")
     def probabilities(texts: pa.Array) -> pa.Array:
-        import numpy as np
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
         logs, prior = shared.value
-        parts = [np.zeros((0, len(prior)))]
-        for start in range(0, len(texts), step):
-            part = texts.slice(start, step)
-            lengths = pc.list_value_length(part).to_numpy()
-            owner = np.repeat(np.arange(len(part)), lengths)
-            place = part.flatten().to_numpy()
-            scores = np.stack(
-                [np.bincount(owner, column[place], len(part)) for column in logs.T], axis=1
-            ) + prior
-            shares = np.exp(scores - scores.max(axis=1, keepdims=True))
-            parts.append(shares / shares.sum(axis=1, keepdims=True))
-        p = np.concatenate(parts)
-        offsets = pa.array(np.arange(len(p) + 1, dtype="i4") * len(prior))
-        return pa.ListArray.from_arrays(offsets, pa.array(p.ravel()))
+        owner = np.repeat(np.arange(len(texts)), pc.list_value_length(texts).to_numpy())
+        return _probabilities(owner, texts.flatten().to_numpy(), len(texts), logs, prior)
 
     return probabilities
 
 
+def text_scorer(model: Model) -> Callable[[Column], Column]:
+    """Token arrays to the number of known words and the class probabilities, in one step."""
+    words, shared = model.spark.sparkContext.broadcast(model.cells[0]), shared_weights(model)
+
+    @F.arrow_udf("struct<known:int,p:array<double>>")
+    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        find = finder(words.value)
+        logs, prior = shared.value
+        for texts in batches:
+            owner, place = _known_places(find, texts)
+            known = pa.array(np.bincount(owner, minlength=len(texts)).astype("i4"))
+            yield pa.StructArray.from_arrays([known, _probabilities(owner, place, len(texts), logs, prior)], names=["known", "p"])
+
+    return scored
+
+
 def score_by_join(df: DataFrame, tokens: str, model: Model) -> DataFrame:
     """Add ``known`` and ``p`` by joining exploded tokens with the word weights.
 
     Texts with the same tokens share their sums, so these are divided by the number of
-    such texts, which one extra NULL token per text counts. Sums are formed before the
-    shuffle: what moves is one short row per text, never its tokens.
+    such texts, which one extra NULL token per text counts. While the weights are within the
+    limits of a broadcast, sums are formed before the shuffle and one short row per text moves;
+    beyond them each token moves once, to its word's weights.
     """
     classes = range(len(model.classes))
     base = model.base
+    # NULL tokens count as none.
+    df = df.withColumn(tokens, F.coalesce(tokens, F.array().cast("array<string>")))
     weights = wide(model.terms, model.classes).select(
         "word", *[(F.log(F.col("f")[c] + model.smoothing) - F.lit(base[c])).alias(f"w{c}") for c in classes]
     )
@@ -206,7 +226,7 @@ def score_by_join(df: DataFrame, tokens: str, model: Model) -> DataFrame:
         )
     )
     keyed = df.withColumn("print", fingerprint(F.col(tokens)))
-    joined = skewed_join(keyed, sums, "print", "left").drop("print")
+    joined = keyed.join(sums, "print", "left").drop("print")
     start = F.array(*[F.lit(value) for value in model.prior])
     scored = joined.withColumn("_scores", F.zip_with("sums", start, lambda left, right: left + right))
     shares = scored.withColumn(
@@ -226,11 +246,9 @@ def with_distribution(df: DataFrame, model: Model, tokens: str = "tokens", binar
     of ``model.classes``. With ``binary`` repeats of a word count once.
     """
     seen = F.array_distinct(tokens) if binary else F.col(tokens)
-    small = model.small()
-    if small is not None:
-        places = df.withColumn("_places", word_indexer(model.spark, small[0])(seen))
-        scored = places.withColumns({"known": F.size("_places"), "p": place_scorer(shared_weights(model))(F.col("_places"))})
-        return scored.drop("_places")
+    if model.small() is not None:
+        scored = df.withColumn("_scored", text_scorer(model)(seen))
+        return scored.withColumns({"known": F.col("_scored.known"), "p": F.col("_scored.p")}).drop("_scored")
     return score_by_join(df.withColumn("_seen", seen), "_seen", model).drop("_seen")
 
 

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kvetch.functions.rows import explode_rows
-from kvetch.operators.lookup import MAX_BYTES, MAX_ROWS, fits, matches
+from kvetch.operators.lexicon import one_nature_per_word
+from kvetch.operators.lookup import MAX_BYTES, MAX_ROWS, finder, fits, matches
 
 # Natures left out, natures of nouns and predicates, the verb that is none.
 DROPPED = ("mzd", "mzm", "w")
@@ -16,6 +21,9 @@ ADJECTIVE = "a"
 VERB = "v"
 COPULA = "vshi"
 
+# Join keys that one text's nouns are dealt over.
+_SALTS = 4
+
 
 def _starts(column: Column, prefixes: tuple[str, ...]) -> Column:
     test = F.lit(False)
@@ -25,11 +33,11 @@ def _starts(column: Column, prefixes: tuple[str, ...]) -> Column:
 
 
 def paired_words(lexicon: DataFrame) -> DataFrame:
-    """Lexicon rows that take part in pairs: ``word``, ``nature``, ``is_noun``."""
+    """Words that take part in pairs, each once: ``word``, ``nature``, ``is_noun``."""
     nature = F.col("nature")
     noun = nature.startswith(NOUN)
     predicate = nature.startswith(ADJECTIVE) | (nature.startswith(VERB) & (nature != COPULA))
-    return lexicon.where(~_starts(nature, DROPPED) & (noun | predicate)).select(
+    return one_nature_per_word(lexicon).where(~_starts(nature, DROPPED) & (noun | predicate)).select(
         "word", "nature", noun.alias("is_noun")
     )
 
@@ -39,26 +47,27 @@ def _counted_words(spark: SparkSession, words: pa.Array, is_noun: pa.Array, toke
     shared = spark.sparkContext.broadcast((words, is_noun))
 
     @F.arrow_udf("struct<nouns:array<struct<place:int,n:bigint>>,predicates:array<struct<place:int,n:bigint>>>")
-    def count(texts: pa.Array) -> pa.Array:
-        import numpy as np
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
+    def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         words, is_noun = shared.value
-        found = pc.fill_null(pc.index_in(texts.flatten(), value_set=words), -1).to_numpy(zero_copy_only=False)
-        lengths = pc.fill_null(pc.list_value_length(texts), 0).to_numpy(zero_copy_only=False)
-        owner = np.repeat(np.arange(len(texts), dtype="i8"), lengths)[found >= 0]
-        keys, counts = np.unique(owner * len(words) + found[found >= 0], return_counts=True)
-        owner, place = keys // max(len(words), 1), keys % max(len(words), 1)
-        noun = is_noun.to_numpy(zero_copy_only=False)[place]
+        find = finder(words)
 
-        def lists(chosen: np.ndarray) -> pa.Array:
-            ends = np.cumsum(np.bincount(owner[chosen], minlength=len(texts)))
-            offsets = pa.array(np.concatenate([[0], ends]).astype("i4"))
-            pairs = [pa.array(place[chosen].astype("i4")), pa.array(counts[chosen].astype("i8"))]
-            return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(pairs, names=["place", "n"]))
+        def counted(texts: pa.Array) -> pa.Array:
+            found = find(texts.flatten())
+            lengths = pc.fill_null(pc.list_value_length(texts), 0).to_numpy(zero_copy_only=False)
+            owner = np.repeat(np.arange(len(texts), dtype="i8"), lengths)[found >= 0]
+            keys, counts = np.unique(owner * len(words) + found[found >= 0], return_counts=True)
+            owner, place = keys // max(len(words), 1), keys % max(len(words), 1)
+            noun = is_noun.to_numpy(zero_copy_only=False)[place]
 
-        return pa.StructArray.from_arrays([lists(noun), lists(~noun)], names=["nouns", "predicates"])
+            def lists(chosen: np.ndarray) -> pa.Array:
+                ends = np.cumsum(np.bincount(owner[chosen], minlength=len(texts)))
+                offsets = pa.array(np.concatenate([[0], ends]).astype("i4"))
+                pairs = [pa.array(place[chosen].astype("i4")), pa.array(counts[chosen].astype("i8"))]
+                return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(pairs, names=["place", "n"]))
+
+            return pa.StructArray.from_arrays([lists(noun), lists(~noun)], names=["nouns", "predicates"])
+
+        yield from map(counted, batches)
 
     return count(tokens)
 
@@ -100,10 +109,15 @@ def _pairs_by_join(texts: DataFrame, tokens: str, words: DataFrame) -> DataFrame
             F.col("n").alias(f"{name}_n"),
         )
 
-    nouns = side("noun", F.col("is_noun"))
-    predicates = side("predicate", ~F.col("is_noun")).drop("copies")
+    # A long text's nouns are dealt over salts by word, its predicates repeated for each: no text is one key.
+    salt = F.pmod(F.xxhash64("noun_word"), F.lit(_SALTS)).cast("int")
+    nouns = side("noun", F.col("is_noun")).withColumn("salt", salt)
+    predicates = explode_rows(
+        side("predicate", ~F.col("is_noun")).drop("copies"), F.sequence(F.lit(0), F.lit(_SALTS - 1)), "salt",
+        "print", "predicate_word", "predicate_nature", "predicate_n",
+    )
     return (
-        nouns.join(predicates, "print")
+        nouns.join(predicates, ["print", "salt"])
         .groupBy("noun_word", "noun_nature", "predicate_word", "predicate_nature")
         .agg(F.sum(F.col("copies") * F.col("noun_n") * F.col("predicate_n")).alias("cnt"))
     )
@@ -115,7 +129,7 @@ def noun_predicate_pairs(
     """``words``, ``nature`` and ``cnt`` of all noun and predicate pairs.
 
     Every occurrence of a noun pairs with every occurrence of a predicate in the same
-    text. A lexicon within the limits is sent to the tasks (``in_tasks`` overrides the
+    text, so counts are 64-bit. A lexicon within the limits is sent to the tasks (``in_tasks`` overrides the
     choice), a larger one is joined.
     """
     words = paired_words(lexicon)
@@ -125,5 +139,5 @@ def noun_predicate_pairs(
     return pairs.select(
         F.concat_ws("-", "noun_word", "predicate_word").alias("words"),
         F.concat_ws("-", "noun_nature", "predicate_nature").alias("nature"),
-        F.col("cnt").cast("int").alias("cnt"),
+        F.col("cnt").cast("long").alias("cnt"),
     )

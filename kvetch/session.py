@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -10,14 +9,15 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
-    """A single-machine session, for tests and the bench only."""
+def local_session(folder: str, cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
+    """A single-machine session with its shared folder, for tests and the bench only."""
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("kvetch")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
+        .config("spark.checkpoint.dir", folder)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -30,13 +30,12 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
     Written tables cut lineage and survive the loss of any executor. On a cluster the
     folder has to be shared, so it is taken from the session and never invented there.
     """
-    context = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not context.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="kvetch-"))
-        root = context.getCheckpointDir()
+        # One process has no other executors to share with: its warehouse will do.
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
@@ -47,19 +46,6 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores when the input has fewer splits than the cluster has cores.
-
-    A large input has far more splits than cores and passes through untouched; only a
-    small one (a single row group, say) pays for a shuffle. Meant for scans: asking a plan
-    with shuffles for its partitions would run them.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
-
-
 @contextmanager
 def java_charsets(spark: SparkSession) -> Iterator[None]:
     """Allow ``encode``/``decode`` to use every charset the JVM knows, GBK among them.

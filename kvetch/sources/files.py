@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kvetch.functions.lines import split_label, tab_fields
-from kvetch.session import java_charsets, spread
+from kvetch.operators.lookup import fits
+from kvetch.session import java_charsets
 
 
 # The id of a line that has no label, and of any line of a file without labels.
@@ -14,22 +15,27 @@ NO_LABEL_ID = "noclassid"
 UNLABELLED_ID = "-100"
 
 
-def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_lines(spark: SparkSession, path: str | list[str], charset: str | None = None) -> DataFrame:
     """``line`` and ``seq`` of text files, each file as UTF-8 or else as GBK.
 
     A file is GBK when any of its lines is malformed UTF-8. Both charsets keep the line
     feed as one byte of its own, so files are split at lines before they are decoded and
     a large file is read by many tasks. Only the names of malformed files are grouped.
-    ``seq`` orders lines as they stand in their file.
+    ``seq`` orders lines as they stand in their file. Where the ``charset`` is known, naming
+    it saves the second read that finds it out.
     """
-    raw = spread(spark.read.text(path).select(
+    raw = spark.read.text(path).select(
         F.col("value"),
         F.struct(
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("row"),
         ).alias("seq"),
-    ))
+    )
+    if charset is not None:
+        with java_charsets(spark):
+            line = F.col("value") if charset.upper() == "UTF-8" else F.decode(F.col("value").cast("binary"), charset)
+            return raw.select(line.alias("line"), "seq")
     malformed = (
         spark.read.text(path)
         .where(~F.is_valid_utf8("value"))
@@ -37,8 +43,9 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
         .distinct()
         .withColumn("gbk", F.lit(True))
     )
-    # At most one row per input file, and the driver lists those files anyway.
-    joined = raw.join(F.broadcast(malformed), F.col("seq.file") == F.col("file"), "left")
+    # One row per malformed file; their number grows with the input, so it is measured.
+    named = F.broadcast(malformed) if fits(malformed.select("file")) else malformed
+    joined = raw.join(named, F.col("seq.file") == F.col("file"), "left")
     with java_charsets(spark):
         decoded = F.decode(F.col("value").cast("binary"), "GBK")
         return joined.select(F.when(F.col("gbk"), decoded).otherwise(F.col("value")).alias("line"), "seq")

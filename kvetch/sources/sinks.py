@@ -22,13 +22,17 @@ def _quoted(name: str) -> str:
     return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
 
 
+def _quoted_column(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def column_ddl(schema: T.StructType) -> str:
     """Column list of the sink table; any type outside the five is an error."""
     columns = []
     for field in schema.fields:
         if field.dataType not in COLUMN_TYPES:
             raise TypeError(f"column {field.name} has type {field.dataType.simpleString()}, which no sink takes")
-        columns.append(f"{_quoted(field.name)} {COLUMN_TYPES[field.dataType]}")
+        columns.append(f"{_quoted_column(field.name)} {COLUMN_TYPES[field.dataType]}")
     return ", ".join(columns)
 
 
@@ -50,19 +54,25 @@ def write_partition(
     """Create the table if it is missing and replace exactly one partition of it.
 
     ``partition`` maps each partition column to its value and type. The static form of
-    the insert also clears the partition when ``df`` is empty. Columns go by name.
+    the insert also clears the partition when ``df`` is empty. Columns go by name, and have
+    to be the table's by name and type: nothing is left out or changed on the way.
     """
     spark = df.sparkSession
-    keys = ", ".join(f"{_quoted(name)} {kind}" for name, (_, kind) in partition.items())
+    keys = ", ".join(f"{_quoted_column(name)} {kind}" for name, (_, kind) in partition.items())
     place = f" LOCATION {partition_literal(location, 'string')}" if location else ""
     values = ", ".join(
-        f"{_quoted(name)} = {partition_literal(value, kind)}" for name, (value, kind) in partition.items()
+        f"{_quoted_column(name)} = {partition_literal(value, kind)}" for name, (value, kind) in partition.items()
     )
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {_quoted(table)} ({column_ddl(df.schema)}, {keys}) "
-        f"USING PARQUET PARTITIONED BY ({', '.join(map(_quoted, partition))}){place}"
+        f"USING PARQUET PARTITIONED BY ({', '.join(map(_quoted_column, partition))}){place}"
     )
-    ordered = df.select(*[_quoted(name) for name in spark.table(_quoted(table)).columns if name not in partition])
+    held = {field.name: field.dataType for field in spark.table(_quoted(table)).schema if field.name not in partition}
+    given = {field.name: field.dataType for field in df.schema}
+    if len(df.columns) != len(given) or given != held:
+        odd = sorted(name for name in held.keys() | given.keys() if held.get(name) != given.get(name))
+        raise ValueError(f"columns of the rows and of {table} differ in name or type: {', '.join(odd) or 'a name twice'}")
+    ordered = df.select(*map(_quoted_column, held))
     if files is not None:
         # Not coalesce, which would also run everything before it in that few tasks.
         ordered = ordered.repartition(files)
@@ -91,6 +101,6 @@ def save_by_hour(
 
 
 def save_lines(df: DataFrame, folder: str) -> None:
-    """Tab separated text files, all columns in order."""
-    columns = [F.col(_quoted(name)).cast("string").alias(name) for name in df.columns]
-    df.select(*columns).write.mode("overwrite").option("sep", "\t").option("emptyValue", "").csv(folder)
+    """Tab separated text files: all columns in order, as they are, a NULL as nothing."""
+    columns = [F.coalesce(F.col(_quoted_column(name)).cast("string"), F.lit("")) for name in df.columns]
+    df.select(F.concat_ws("\t", *columns).alias("value")).write.mode("overwrite").text(folder)

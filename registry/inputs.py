@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 from kvetch.functions.rows import explode_rows
 from kvetch.functions.text import FULL_WIDTH, HALF_WIDTH
 from kvetch.operators.keywords import build_dictionary, parse_rules
-from kvetch.session import spread
 
+# The day and hour that scans ask for; rows lie on five days, messages in three hours.
 DAY = 20240101
 HOUR = 9
 
-# Keyword lines over words of the documents; they reach every case but one.
+# Keyword lines over words of the documents; they reach every case.
 RULE_LINES = [
     "A\t1\tthing，thly worthless，pathetic",
     "A\t2\tthing，rest ti",
@@ -26,6 +26,8 @@ RULE_LINES = [
     "C\t2\tund ein",
     "B\t2\tci el",
     "A\t3\tst nd",
+    "D\t1\tworthy ha",
+    "D\t2\tworthy ha",
 ]
 # The dictionary these lines make.
 DICTIONARY = [
@@ -33,10 +35,13 @@ DICTIONARY = [
     ("m", "thing", "A-2"), ("m", "rest", "A-2"), ("d", "ti", "A-2"), ("m", "eau", "B-1"), ("d", "oi", "B-1"),
     ("m", "zu", "C-1"), ("d", "ein", "C-1"), ("d", "ein", "C-2"), ("m", "und", "C-2"), ("m", "ci", "B-2"),
     ("d", "el", "B-2"), ("m", "st", "A-3"), ("d", "nd", "A-3"),
+    ("m", "worthy", "D-1"), ("d", "ha", "D-1"), ("m", "worthy", "D-2"), ("d", "ha", "D-2"),
 ]
 LEXICON = [
     ("thing", "n"), ("eau", "nz"), ("rest", "n"), ("tion", "nr"), ("worthless", "a"), ("pathetic", "ad"),
     ("is", "vshi"), ("was", "v"), ("are", "vn"), ("and", "w"), ("with", "mzm"), ("from", "mzd"),
+    # Listed twice: the smaller nature stands.
+    ("thing", "v"), ("rest", "a"), ("are", "n"),
 ]
 SEGMENT_WORDS = ["thing", "thingtion", "tion", "the", "then", "in", "inter", "eaux", "eau", "und", "el", "en"]
 VARIANTS = {"é": "e", "è": "e", "ê": "e", "ç": "c", "ñ": "n", "ó": "o", "í": "i", "ü": "u", "ö": "o", "ä": "a"}
@@ -47,34 +52,42 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Use all cores where a test table is a single row group."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return spread(read(spark, sf_dir, "documents").select(*columns), "doc_id")
 
 
 def comments(spark: SparkSession, sf_dir: str, nature: Column | None = None) -> DataFrame:
-    """One day of comments; none is positive unless ``nature`` says so."""
+    """Comments of five days; none is positive unless ``nature`` says so, and some have no content."""
     texts = documents(spark, sf_dir, "doc_id", "text", "lang", "source")
     return texts.select(
         F.col("doc_id").cast("string").alias("commentid"),
-        F.col("text").alias("content"),
+        F.when(F.col("doc_id") % 13 != 4, F.col("text")).alias("content"),
         (F.when(F.col("lang") == "en", -1).otherwise(0) if nature is None else nature).alias("nature"),
         F.col("lang").alias("devicecode"),
         F.col("lang").alias("brandcode"),
         F.col("source").alias("storename"),
         F.col("source").alias("storeid"),
         F.col("doc_id").alias("createtime"),
-        F.lit(DAY).alias("dt"),
+        (F.lit(DAY) + F.col("doc_id") % 5).alias("dt"),
     )
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One hour of messages."""
+    """Messages of five days and three hours, some short and some without content."""
     turns = spread(read(spark, sf_dir, "conversations").select("conv_id", "turn", "text"))
     return turns.select(
         F.concat_ws(":", "conv_id", "turn").alias("id"),
-        F.col("text").alias("content"),
-        F.lit(DAY).alias("stat_date"),
-        F.lit(HOUR).alias("stat_hour"),
+        F.when(F.col("conv_id") % 11 == 10, None)
+        .when(F.col("conv_id") % 5 == 0, F.substring("text", F.lit(1), (F.col("turn") * 2 + 1).cast("int")))
+        .otherwise(F.col("text")).alias("content"),
+        (F.lit(DAY) + F.col("conv_id") % 5).alias("stat_date"),
+        (F.lit(HOUR) + F.col("turn") % 3 - 1).alias("stat_hour"),
     )
 
 
@@ -136,11 +149,16 @@ def lexicon(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(LEXICON, "word string, nature string")
 
 
+def some_text() -> Column:
+    """The text, NULL for every thirteenth document."""
+    return F.when(F.col("doc_id") % 13 != 4, F.col("text"))
+
+
 def wide_text() -> Column:
     """The text in full-width forms."""
     return F.translate("text", HALF_WIDTH, FULL_WIDTH)
 
 
 def solid_text() -> Column:
-    """The letters of the text, unspaced."""
-    return F.regexp_replace(F.lower("text"), r"[^\p{L}]", "")
+    """The letters of the text, unspaced; NULL for some documents."""
+    return F.regexp_replace(F.lower(some_text()), r"[^\p{L}]", "")

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from kvetch.functions.text import FEATURE_STOP_WORDS, FULL_WIDTH, HALF_WIDTH, TRAINING_STOP_WORDS
 from kvetch.operators.keywords import NO_CLASS
-from kvetch.operators.training import PASSES as ALL_PASSES
+from kvetch.operators.keywords import MAX_LITERALS
 from registry import inputs
-from registry.queries import PASSES
+from registry.queries import PASSES, PASSES_BY_JOIN
 
 
 def _text(value: str) -> str:
@@ -37,16 +37,19 @@ _FOLD_LETTERS = f"{_text(''.join(inputs.VARIANTS))}, {_text(''.join(inputs.VARIA
 
 _COMMENTS = """
 comments AS (
-  SELECT CAST(doc_id AS VARCHAR) AS commentid, text AS content, {nature} AS nature, lang AS devicecode,
-         lang AS brandcode, source AS storename, source AS storeid, doc_id AS createtime
+  SELECT CAST(doc_id AS VARCHAR) AS commentid, CASE WHEN doc_id % 13 <> 4 THEN text END AS content, {nature} AS nature, lang AS devicecode,
+         lang AS brandcode, source AS storename, source AS storeid, doc_id AS createtime,
+         {day} + doc_id % 5 AS dt
   FROM documents)"""
-_NOT_POSITIVE = _COMMENTS.format(nature="CASE lang WHEN 'en' THEN -1 ELSE 0 END")
+_NOT_POSITIVE = _COMMENTS.format(day=inputs.DAY, nature="CASE lang WHEN 'en' THEN -1 ELSE 0 END")
 
 _MESSAGES = f"""
 messages AS (
-  SELECT conv_id || ':' || turn AS id, text AS content, CAST({inputs.DAY} AS BIGINT) AS stat_date,
-         CAST({inputs.HOUR} AS BIGINT) AS stat_hour
+  SELECT conv_id || ':' || turn AS id,
+         CASE WHEN conv_id % 11 = 10 THEN NULL WHEN conv_id % 5 = 0 THEN text[1:turn * 2 + 1] ELSE text END AS content,
+         {inputs.DAY} + conv_id % 5 AS stat_date, {inputs.HOUR} + turn % 3 - 1 AS stat_hour
   FROM conversations)"""
+_THIS_HOUR = f"stat_date = {inputs.DAY} AND stat_hour = {inputs.HOUR} AND length(content) > 2"
 
 _LABEL = """CASE WHEN quality = 1 AND toxic <> 1 THEN 'A-1' WHEN quality = 1 THEN 'B-1'
             WHEN toxic <> 1 THEN 'C-2' ELSE 'A-2' END"""
@@ -70,6 +73,14 @@ last_labels AS (
 
 _TOKENS = f"tokens AS (SELECT doc_id, {_tokens('lower(text)')} AS tokens FROM documents)"
 
+# Of some documents the text is NULL; those have no tokens.
+_SOME_TOKENS = f"""tokens AS (
+  SELECT doc_id, CASE WHEN doc_id % 13 <> 4 THEN {_tokens('lower(text)')} ELSE [] END AS tokens FROM documents)"""
+
+_LEXICON = f"""
+listed(word, nature) AS (VALUES {_rows(inputs.LEXICON)}),
+lexicon AS (SELECT word, min(nature) AS nature FROM listed GROUP BY word)"""
+
 _LABELLED_WORDS = f"""
 labelled AS (SELECT d.doc_id, {_LABEL} AS label, {_tokens('lower(text)')} AS tokens
              FROM documents d JOIN labels l ON l.doc_id = d.doc_id),
@@ -247,22 +258,27 @@ _COLUMNS = """SELECT doc_id, text, CAST(length(lang) AS INTEGER) AS width, lang
        {partition} AS stat_date FROM documents"""
 
 _SEGMENTS = "|".join(sorted(inputs.SEGMENT_WORDS, key=len, reverse=True))
-_SEGMENTED = rf"""SELECT doc_id, array_to_string(regexp_extract_all(
-  regexp_replace(lower(text), '[^\p{{L}}]', '', 'g'), '{_SEGMENTS}|.'), ' ') AS words FROM documents"""
+_SEGMENTED = rf"""SELECT doc_id, CASE WHEN doc_id % 13 <> 4 THEN array_to_string(regexp_extract_all(
+  regexp_replace(lower(text), '[^\p{{L}}]', '', 'g'), '{_SEGMENTS}|.'), ' ') ELSE '' END AS words FROM documents"""
+
+_KEYWORD_CLASSES = f"WITH {_SOME_TOKENS}, {_KEYWORDS} SELECT doc_id, array_to_string(key_classes, ',') AS class FROM keyed"
+
+
+def _term_weights(passes: int) -> str:
+    return f"WITH {_PLAIN_ROWS} {_training(passes)}, {_sums(passes)} SELECT word, label, round(f, 4) AS f FROM f{passes}"
+
+
 
-_KEYWORD_CLASSES = f"WITH {_TOKENS}, {_KEYWORDS} SELECT doc_id, array_to_string(key_classes, ',') AS class FROM keyed"
-_TERM_WEIGHTS = f"WITH {_PLAIN_TRAINING}, {_sums(PASSES)} SELECT word, label, round(f, 6) AS f FROM f{PASSES}"
 _DISTRIBUTION = f"""WITH {_PLAIN_TRAINING}, {_TOKENS}, {_SCORE_DOCUMENTS} {_scoring(PASSES)}
-  SELECT doc AS doc_id, known, class, round(p, 6) AS p FROM p"""
-_PAIRS = f"""WITH {_NOT_POSITIVE},
-  lexicon(word, nature) AS (VALUES {_rows(inputs.LEXICON)}),
+  SELECT doc AS doc_id, known, class, round(p, 4) AS p FROM p"""
+_PAIRS = f"""WITH {_NOT_POSITIVE}, {_LEXICON},
   tagged AS (
     SELECT commentid, word, nature, count(*) AS n
     FROM (SELECT commentid, unnest({_tokens('lower(content)')}) AS word FROM comments WHERE nature < 1) t
     JOIN lexicon USING (word)
     WHERE NOT (nature LIKE 'mzd%' OR nature LIKE 'mzm%' OR nature LIKE 'w%') GROUP BY ALL)
   SELECT a.word || '-' || b.word AS words, a.nature || '-' || b.nature AS nature,
-         CAST(sum(a.n * b.n) AS INTEGER) AS cnt
+         CAST(sum(a.n * b.n) AS BIGINT) AS cnt
   FROM tagged a JOIN tagged b USING (commentid)
   WHERE a.nature LIKE 'n%' AND (b.nature LIKE 'a%' OR (b.nature LIKE 'v%' AND b.nature <> 'vshi')) GROUP BY ALL"""
 # Both forms of each document; equal tokens of the two forms do not occur.
@@ -271,13 +287,13 @@ _GATED = f"""WITH {_PLAIN_TRAINING},
   tokens AS (SELECT (doc_id, form) AS doc_id, {_tokens('lower(text)')} AS tokens FROM forms),
   {_SCORE_DOCUMENTS} {_scoring(PASSES)}
   SELECT doc[1] AS doc_id, CASE WHEN known > 0 THEN pred_classes[1] ELSE '-100' END AS classid,
-         CASE WHEN known > 0 THEN round(p1, 6) ELSE 0 END AS cvalue
+         CASE WHEN known > 0 THEN round(p1, 4) ELSE 0 END AS cvalue
   FROM top"""
 
 ORACLE_SQL: dict[str, str] = {
-    "scan_comments_by_day": f"""WITH {_COMMENTS.format(nature="CASE lang WHEN 'en' THEN -1 WHEN 'fr' THEN 0 WHEN 'es' THEN 1 END")}
-        SELECT * FROM comments WHERE nature < 1""",
-    "scan_messages_by_hour": f"WITH {_MESSAGES} SELECT id, content FROM messages WHERE length(content) > 2",
+    "scan_comments_by_day": f"""WITH {_COMMENTS.format(day=inputs.DAY, nature="CASE lang WHEN 'en' THEN -1 WHEN 'fr' THEN 0 WHEN 'es' THEN 1 END")}
+        SELECT * EXCLUDE (dt) FROM comments WHERE nature < 1 AND dt = {inputs.DAY} AND content IS NOT NULL""",
+    "scan_messages_by_hour": f"WITH {_MESSAGES} SELECT id, content FROM messages WHERE {_THIS_HOUR}",
     "keyword_first_two_fields": "SELECT p_brand AS a, p_name AS b FROM part WHERE p_size <= 25",
     "labelled_lines": f"WITH {_DOCUMENT_LINES} SELECT doc_id, label, text FROM lines WHERE labelled",
     "dedupe_last_label": f"WITH {_SENTENCES}, {_LAST_LABELS} SELECT text, label FROM last_labels",
@@ -290,11 +306,19 @@ ORACLE_SQL: dict[str, str] = {
     "training_tokens": f"""WITH {_DOCUMENT_LINES}
         SELECT doc_id, label, array_to_string(list_filter(tokens, lambda w: w NOT IN ({_list(TRAINING_STOP_WORDS)})), ' ') AS words
         FROM (SELECT doc_id, label, {_tokens('lower(text)')} AS tokens FROM lines WHERE labelled) WHERE words <> ''""",
+    "training_tokens_folded": f"""WITH {_DOCUMENT_LINES}
+        SELECT doc_id, label, array_to_string(list_filter(tokens, lambda w: w NOT IN ({_list(inputs.STOP_WORDS)})), ' ') AS words
+        FROM (SELECT doc_id, label, {_tokens(f"lower(translate(text, {_FOLD_LETTERS}))")} AS tokens FROM lines WHERE labelled)
+        WHERE words <> ''""",
     "encoding_fallback": "SELECT doc_id, replace(text, chr(10), ' ') || ' 手机' AS text FROM documents",
     "sink_partition_roundtrip": _COLUMNS.format(partition=f"CAST({inputs.DAY} AS BIGINT)")
     + " UNION ALL " + _COLUMNS.format(partition=f"CAST({inputs.DAY + 1} AS BIGINT)") + " WHERE lang = 'en'",
     "sink_string_partition": _COLUMNS.format(partition="'it''s day 1'"),
-    "sink_hour_roundtrip": f"WITH {_MESSAGES} SELECT * FROM messages WHERE length(content) > 2",
+    "sink_hour_roundtrip": f"WITH {_MESSAGES} SELECT * FROM messages WHERE {_THIS_HOUR}",
+    "sink_ddl": """SELECT count(*) AS n, '`doc_id` bigint, `text` string, `width` int, `english` boolean, `quarter` double' AS ddl
+        FROM documents""",
+    "lines_out_roundtrip": """SELECT doc_id || chr(9) || CASE WHEN doc_id % 4 <> 1 THEN lang ELSE '' END || chr(9) ||
+        '  "say \\"hi\\" ' || translate(text, chr(10) || chr(9), '  ') || ' now"  ' AS line FROM documents""",
     "fold_width": f"SELECT doc_id, length({_widen('text')}) AS chars, {_narrow(_widen('text'))} AS folded FROM documents",
     "fold_variants": f"SELECT doc_id, translate(text, {_FOLD_LETTERS}) AS folded FROM documents",
     "tokenize": f"WITH {_TOKENS} SELECT doc_id, len(tokens) AS n, array_to_string(tokens, ' ') AS words FROM tokens",
@@ -302,7 +326,7 @@ ORACLE_SQL: dict[str, str] = {
         FROM documents""",
     "stop_word_filter": f"""WITH {_TOKENS} SELECT doc_id,
         array_to_string(list_filter(tokens, lambda w: w NOT IN ({_list(inputs.STOP_WORDS)})), ' ') AS words FROM tokens""",
-    "tokenize_with_nature": f"""WITH {_TOKENS}, lexicon(word, nature) AS (VALUES {_rows(inputs.LEXICON)}),
+    "tokenize_with_nature": f"""WITH {_TOKENS}, {_LEXICON},
         places AS (SELECT doc_id, generate_subscripts(tokens, 1) - 1 AS pos, unnest(tokens) AS word FROM tokens)
         SELECT doc_id, pos, word, coalesce(nature, 'x') AS nature FROM places LEFT JOIN lexicon USING (word)""",
     "lexicon_with_user_words": f"""WITH {_TOKENS},
@@ -318,11 +342,19 @@ ORACLE_SQL: dict[str, str] = {
     "keyword_dictionary": f"WITH {_RULES} SELECT * FROM dictionary",
     "ambiguous_keywords": f"""WITH {_RULES} SELECT DISTINCT word
         FROM (SELECT role, word FROM dictionary GROUP BY ALL HAVING count(DISTINCT class) > 1)""",
-    "keyword_hits": f"WITH {_TOKENS}, {_KEYWORDS} SELECT doc_id, words FROM keyed",
+    "keyword_hits": f"WITH {_SOME_TOKENS}, {_KEYWORDS} SELECT doc_id, words FROM keyed",
+    "keyword_hits_large_dictionary": f"""WITH {_RULES}, {_SOME_TOKENS},
+        few AS (SELECT DISTINCT word FROM dictionary WHERE regexp_matches(word, '^\\p{{L}}+$') ORDER BY word LIMIT {MAX_LITERALS}),
+        places AS (SELECT doc_id, unnest(tokens) AS word, generate_subscripts(tokens, 1) AS pos FROM tokens),
+        hits AS (SELECT doc_id, pos, role, word FROM places
+                 JOIN (SELECT DISTINCT role, word FROM dictionary WHERE word IN (SELECT word FROM few)) USING (word))
+        SELECT t.doc_id, coalesce(string_agg(word, ',' ORDER BY pos) FILTER (role = 'm'), '') || '|' ||
+               coalesce(string_agg(word, ',' ORDER BY pos) FILTER (role = 'd'), '') AS words
+        FROM tokens t LEFT JOIN hits USING (doc_id) GROUP BY t.doc_id""",
     "keyword_classes": _KEYWORD_CLASSES,
-    "keyword_classes_by_join": f"""WITH {_TOKENS}, {_KEYWORDS}
+    "keyword_classes_by_join": f"""WITH {_SOME_TOKENS}, {_KEYWORDS}
         SELECT doc_id, words, array_to_string(key_classes, ',') AS class FROM keyed""",
-    "keyword_vote_top3": f"WITH {_TOKENS}, {_KEYWORDS} SELECT doc_id, place, class, votes FROM votes",
+    "keyword_vote_top3": f"WITH {_SOME_TOKENS}, {_KEYWORDS} SELECT doc_id, place, class, votes FROM votes",
     "word_class_counts": f"""WITH {_LABELLED_WORDS}
         SELECT word, label, count(*) AS cnt FROM words WHERE length(word) < 20 GROUP BY ALL""",
     "selected_words": f"""WITH {_LABELLED_WORDS}
@@ -331,33 +363,40 @@ ORACLE_SQL: dict[str, str] = {
     "vocabulary": f"WITH {_LABELLED_WORDS} SELECT DISTINCT word FROM words",
     "class_prior": f"""WITH {_LABELLED_WORDS}
         SELECT label, count(*) AS texts, round(count(*) / (SELECT count(*) FROM labelled), 9) AS share FROM labelled GROUP BY label""",
-    "features_binary": f"""WITH {_LABELLED_WORDS}
-        SELECT DISTINCT doc_id, label, word, CAST(1 AS BIGINT) AS value FROM words""",
-    "features_counts": f"WITH {_LABELLED_WORDS} SELECT doc_id, label, word, count(*) AS value FROM words GROUP BY ALL",
-    "train_term_weights": _TERM_WEIGHTS,
-    "train_term_weights_by_join": _TERM_WEIGHTS,
-    "train_all_passes": f"""WITH {_PLAIN_ROWS} {_training(ALL_PASSES)}, {_sums(ALL_PASSES)}
-        SELECT word, label, round(f, 4) AS f FROM f{ALL_PASSES}""",
-    "train_document_weights": f"""WITH {_PLAIN_TRAINING}
-        SELECT doc AS doc_id, label, round(w, 6) AS weight FROM weight{PASSES}""",
+    "features_binary": f"""WITH {_LABELLED_WORDS}, {_TOKENS}, places AS (SELECT doc_id, unnest(tokens) AS word FROM tokens)
+        SELECT DISTINCT doc_id, word, CAST(1 AS BIGINT) AS value FROM places WHERE word IN (SELECT word FROM words)""",
+    "features_counts": f"""WITH {_LABELLED_WORDS}, {_TOKENS}, places AS (SELECT doc_id, unnest(tokens) AS word FROM tokens)
+        SELECT doc_id, word, count(*) AS value FROM places WHERE word IN (SELECT word FROM words) GROUP BY ALL""",
+    "features_labelled": f"""WITH {_LABELLED_WORDS}
+        SELECT DISTINCT doc_id, label, word, CAST(1 AS BIGINT) AS value FROM words WHERE word IN (
+          SELECT word FROM words WHERE length(word) < 20 AND word NOT IN ({_list(FEATURE_STOP_WORDS)})
+          GROUP BY word HAVING count(*) >= 2)""",
+    "train_term_weights": _term_weights(PASSES),
+    "train_term_weights_by_join": _term_weights(PASSES_BY_JOIN),
+    "train_all_passes": _term_weights(PASSES),
+    "train_document_weights": f"""WITH {_PLAIN_ROWS} {_training(PASSES_BY_JOIN)}
+        SELECT doc AS doc_id, label, round(w, 4) AS weight FROM weight{PASSES_BY_JOIN}""",
     "class_distribution": _DISTRIBUTION,
     "class_distribution_by_join": _DISTRIBUTION,
     "predict_with_gate": _GATED,
     "predict_top3": f"""WITH {_PLAIN_TRAINING}, {_TOKENS}, {_SCORE_DOCUMENTS} {_scoring(PASSES)}
-        SELECT doc AS doc_id, array_to_string(pred_classes, ',') AS classes, round(p1, 6) AS p1 FROM top""",
-    "merge_classes": f"""WITH {_TOKENS}, {_KEYWORDS}, {_COMMENT_TRAINING}, {_SCORE_DOCUMENTS} {_scoring(PASSES)}, {_MERGED}
+        SELECT doc AS doc_id, array_to_string(pred_classes, ',') AS classes, round(p1, 4) AS p1 FROM top""",
+    "merge_classes": f"""WITH {_SOME_TOKENS}, {_KEYWORDS}, {_COMMENT_TRAINING}, {_SCORE_DOCUMENTS} {_scoring(PASSES)}, {_MERGED}
+        SELECT doc_id, keyclass, predclass, class FROM final""",
+    "merge_classes_cautious": f"""WITH {_SOME_TOKENS}, {_KEYWORDS}, {_COMMENT_TRAINING}, {_SCORE_DOCUMENTS} {_scoring(PASSES)},
+        {_MERGED.replace("p1 > 0.7", "p1 > 1").replace("p1 > 0.9", "p1 > 1")}
         SELECT doc_id, keyclass, predclass, class FROM final""",
-    "classify_comments": f"""WITH {_TOKENS}, {_KEYWORDS}, {_COMMENT_TRAINING}, {_SCORE_DOCUMENTS} {_scoring(PASSES)}, {_MERGED},
+    "classify_comments": f"""WITH {_SOME_TOKENS}, {_KEYWORDS}, {_COMMENT_TRAINING}, {_SCORE_DOCUMENTS} {_scoring(PASSES)}, {_MERGED},
         {_NOT_POSITIVE}
         SELECT commentid, nature, content, words, class, devicecode, brandcode, storename, storeid, createtime
-        FROM comments JOIN final ON createtime = doc_id WHERE nature < 1""",
+        FROM comments JOIN final ON createtime = doc_id WHERE nature < 1 AND dt = {inputs.DAY} AND content IS NOT NULL""",
     "score_messages_hourly": f"""WITH {_MESSAGE_TRAINING}, {_MESSAGES},
-        score_docs AS (SELECT id AS doc FROM messages WHERE length(content) > 2),
+        score_docs AS (SELECT id AS doc FROM messages WHERE {_THIS_HOUR}),
         score_words AS MATERIALIZED (SELECT DISTINCT doc, word
-          FROM (SELECT id AS doc, unnest({_tokens('content')}) AS word FROM messages WHERE length(content) > 2)),
+          FROM (SELECT id AS doc, unnest({_tokens('content')}) AS word FROM messages WHERE {_THIS_HOUR})),
         {_scoring(1)}
         SELECT id, CASE WHEN known > 0 THEN pred_classes[1] ELSE '-100' END AS classid,
-               CASE WHEN known > 0 THEN round(p1, 6) ELSE 0 END AS cvalue, content
+               CASE WHEN known > 0 THEN round(p1, 4) ELSE 0 END AS cvalue, content
         FROM messages JOIN top ON doc = id""",
     "score_lines": f"""WITH {_MESSAGE_TRAINING}, {_DOCUMENT_LINES},
         score_docs AS (SELECT doc_id AS doc FROM lines),
@@ -366,14 +405,17 @@ ORACLE_SQL: dict[str, str] = {
         {_scoring(1)}
         SELECT CASE WHEN labelled THEN label ELSE 'noclassid' END AS label,
                CASE WHEN known > 0 THEN pred_classes[1] ELSE '-100' END AS predicted,
-               CASE WHEN known > 0 THEN round(p1, 6) ELSE 0 END AS confidence,
+               CASE WHEN known > 0 THEN round(p1, 4) ELSE 0 END AS confidence,
                CASE WHEN labelled THEN text ELSE mark || text END AS text
         FROM lines JOIN top ON doc = doc_id""",
     "training_fit_report": f"""WITH {_FIT_TRAINING},
         score_docs AS (SELECT doc FROM train_docs), score_words AS (SELECT doc, word FROM train_words), {_scoring(PASSES)}
         SELECT label, CASE WHEN known > 0 THEN pred_classes[1] ELSE '-100' END AS predicted,
-               CASE WHEN known > 0 THEN round(p1, 6) ELSE 0 END AS confidence, text
+               CASE WHEN known > 0 THEN round(p1, 4) ELSE 0 END AS confidence, text
         FROM lines JOIN top ON doc = doc_id""",
     "noun_predicate_pairs": _PAIRS,
     "noun_predicate_pairs_by_join": _PAIRS,
+    "noun_predicate_pairs_folded": _PAIRS.replace("lower(content)", f"lower(translate(content, {_FOLD_LETTERS}))").replace(
+        "WHERE NOT (nature", "WHERE word NOT IN ('are', 'eau') AND NOT (nature"
+    ),
 }

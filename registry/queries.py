@@ -18,7 +18,10 @@ from kvetch.sources import files, sinks, tables
 from registry import inputs
 
 # Passes of the trained models; the SQL twins state them one by one.
-PASSES = 3
+PASSES = training.PASSES
+# The join way of training and the weights of single texts write a table in each pass, seconds where
+# the other way takes tenths; fewer passes go through the same code.
+PASSES_BY_JOIN = 3
 
 
 def _joined(tokens: str | Column) -> Column:
@@ -64,6 +67,14 @@ def prediction_lines_unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.lines_to_score(inputs.document_lines(spark, sf_dir), False)
 
 
+def training_tokens_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With letter variants folded and stop words of the user's."""
+    texts = jobs.training_tokens(
+        inputs.document_lines(spark, sf_dir), variants=inputs.VARIANTS, stop_words=inputs.STOP_WORDS
+    )
+    return texts.select("doc_id", "label", _joined("tokens").alias("words"))
+
+
 def training_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = jobs.training_tokens(inputs.document_lines(spark, sf_dir))
     return texts.select("doc_id", "label", _joined("tokens").alias("words"))
@@ -118,6 +129,23 @@ def sink_string_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table)
 
 
+def sink_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The column list that the sink of these rows has, beside what the rows hold."""
+    rows = _columns(spark, sf_dir)
+    return rows.agg(_long(F.count("*")).alias("n")).withColumn("ddl", F.lit(sinks.column_ddl(rows.schema)))
+
+
+def lines_out_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines written and read again, with quotes, blanks at both ends and NULLs."""
+    texts = inputs.documents(spark, sf_dir, "doc_id", "text", "lang").select(
+        F.col("doc_id").alias("id"), F.when(F.col("doc_id") % 4 != 1, F.col("lang")).alias("lang"),
+        F.concat(F.lit('  "say \\"hi\\" '), F.translate("text", "\n\t", "  "), F.lit(' now"  ')).alias("text"),
+    )
+    folder = scratch_folder(spark, "lines")
+    sinks.save_lines(texts, folder)
+    return spark.read.text(folder).select(F.col("value").alias("line"))
+
+
 def sink_hour_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two hours written, one of them cleared by an empty batch."""
     table, location = _table(spark)
@@ -207,13 +235,18 @@ def ambiguous_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keywords.ambiguous_words(_rule_dictionary(spark, sf_dir))
 
 
+def _some_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of all documents, NULL for some."""
+    return inputs.documents(spark, sf_dir, "doc_id", "text").select("doc_id", tokenize(inputs.some_text()).alias("tokens"))
+
+
 def _keyword_classes(spark: SparkSession, sf_dir: str, max_literals: int = keywords.MAX_LITERALS) -> DataFrame:
-    hits = keywords.keyword_hits(_tokens(spark, sf_dir), inputs.dictionary(spark), max_literals=max_literals)
+    hits = keywords.keyword_hits(_some_tokens(spark, sf_dir), inputs.dictionary(spark), max_literals=max_literals)
     return keywords.classify_by_keywords(hits)
 
 
 def keyword_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hits = keywords.keyword_hits(_tokens(spark, sf_dir), inputs.dictionary(spark))
+    hits = keywords.keyword_hits(_some_tokens(spark, sf_dir), inputs.dictionary(spark))
     return hits.select("doc_id", keywords.matched_words().alias("words"))
 
 
@@ -227,6 +260,14 @@ def keyword_classes_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def keyword_hits_large_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Thousands of words: the dictionary of the documents' own rule lines, within the limit of literals."""
+    dictionary = _rule_dictionary(spark, sf_dir).where(F.col("word").rlike(r"^\p{L}+$"))
+    words = dictionary.select("word").distinct().orderBy("word").limit(keywords.MAX_LITERALS)
+    hits = keywords.keyword_hits(_some_tokens(spark, sf_dir), dictionary.join(F.broadcast(words), "word", "left_semi"))
+    return hits.select("doc_id", keywords.matched_words().alias("words"))
+
+
 def keyword_vote_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
     votes = explode_rows(_keyword_classes(spark, sf_dir), "votes", "vote", "doc_id", pos="pos")
     return votes.select("doc_id", _long(F.col("pos") + 1).alias("place"), F.col("vote.class").alias("class"), F.col("vote.votes").alias("votes"))
@@ -255,44 +296,37 @@ def class_prior(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def features_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.binary_features(_labelled_tokens(spark, sf_dir))
+    """All documents in terms of the labelled ones' words."""
+    return features.binary_features(_tokens(spark, sf_dir), vocabulary(spark, sf_dir))
 
 
 def features_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.count_features(_labelled_tokens(spark, sf_dir))
-
-
-# Classifier. Queries that apply a model share it within a session, as a saved model is.
+    return features.count_features(_tokens(spark, sf_dir), vocabulary(spark, sf_dir))
 
-_models: dict[tuple[str, str, str], model.Model] = {}
 
+def features_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelled documents with their labels, in terms of the words selected from them."""
+    texts = _labelled_tokens(spark, sf_dir)
+    return features.binary_features(texts, features.selected_words(texts, min_total=2))
 
-def _shared(spark: SparkSession, sf_dir: str, kind: str, make: Callable[[], model.Model]) -> model.Model:
-    key = (spark.sparkContext.applicationId, sf_dir, kind)
-    if key not in _models:
-        _models[key] = make()
-    return _models[key]
 
+# Classifier. Each query trains the model it applies.
 
 def _plain_model(spark: SparkSession, sf_dir: str) -> model.Model:
-    return _shared(spark, sf_dir, "plain", lambda: training.train(_labelled_tokens(spark, sf_dir), PASSES))
+    return training.train(_labelled_tokens(spark, sf_dir), PASSES)
 
 
 def _comment_model(spark: SparkSession, sf_dir: str) -> model.Model:
-    return _shared(
-        spark, sf_dir, "comment",
-        lambda: jobs.train_for_comments(inputs.document_lines(spark, sf_dir), inputs.dictionary(spark), PASSES),
-    )
+    return jobs.train_for_comments(inputs.document_lines(spark, sf_dir), inputs.dictionary(spark), PASSES)
 
 
 def _message_model(spark: SparkSession, sf_dir: str) -> model.Model:
-    return _shared(
-        spark, sf_dir, "message", lambda: jobs.train_for_messages(inputs.sentence_lines(spark, sf_dir))
-    )
+    return jobs.train_for_messages(inputs.sentence_lines(spark, sf_dir))
 
 
 def _rounded(column: str) -> Column:
-    return F.round(column, 6).alias(column)
+    """To the digits that engines agree on after all passes."""
+    return F.round(column, 4).alias(column)
 
 
 def train_term_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -301,22 +335,22 @@ def train_term_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def train_term_weights_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trained = training.train(_labelled_tokens(spark, sf_dir), PASSES, in_tasks=False)
+    trained = training.train(_labelled_tokens(spark, sf_dir), PASSES_BY_JOIN, in_tasks=False)
     return trained.terms.select("word", "label", _rounded("f"))
 
 
 def train_all_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As many passes as training takes unless told otherwise."""
     trained = training.train(_labelled_tokens(spark, sf_dir))
-    return trained.terms.select("word", "label", F.round("f", 4).alias("f"))
+    return trained.terms.select("word", "label", _rounded("f"))
 
 
 def train_document_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = _labelled_tokens(spark, sf_dir)
     steps = training.training_passes(texts)
-    models = [next(steps) for _ in range(PASSES - 1)]
+    weights = training.text_weights(texts, (next(steps) for _ in range(PASSES_BY_JOIN - 1)))
     steps.close()
-    return training.text_weights(texts, models).select("doc_id", "label", _rounded("weight"))
+    return weights.select("doc_id", "label", _rounded("weight"))
 
 
 def _distribution(spark: SparkSession, sf_dir: str, by_join: bool) -> DataFrame:
@@ -327,7 +361,7 @@ def _distribution(spark: SparkSession, sf_dir: str, by_join: bool) -> DataFrame:
     else:
         scored = model.with_distribution(texts, trained)
     rows = explode_rows(scored, model.ranked_classes(trained), "row", "doc_id", _long("known").alias("known"))
-    return rows.select("doc_id", "known", F.col("row.class").alias("class"), F.round("row.p", 6).alias("p"))
+    return rows.select("doc_id", "known", F.col("row.class").alias("class"), F.round("row.p", 4).alias("p"))
 
 
 def class_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -352,20 +386,29 @@ def predict_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
     trained = _plain_model(spark, sf_dir)
     top = model.with_top_classes(model.with_distribution(_tokens(spark, sf_dir), trained), trained)
     return top.select(
-        "doc_id", F.array_join("pred_classes", ",").alias("classes"), F.round(F.col("pred_values")[0], 6).alias("p1")
+        "doc_id", F.array_join("pred_classes", ",").alias("classes"), F.round(F.col("pred_values")[0], 4).alias("p1")
     )
 
 
-def merge_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _merged(spark: SparkSession, sf_dir: str, **thresholds: float) -> DataFrame:
     trained = _comment_model(spark, sf_dir)
     top = model.with_top_classes(model.with_distribution(_keyword_classes(spark, sf_dir), trained), trained)
-    merged = merged_classes(F.col("key_classes"), F.col("pred_classes"), F.col("pred_values")[0])
+    merged = merged_classes(F.col("key_classes"), F.col("pred_classes"), F.col("pred_values")[0], **thresholds)
     return top.select(
         "doc_id", F.array_join("key_classes", ",").alias("keyclass"), F.array_join("pred_classes", ",").alias("predclass"),
         F.array_join(merged, ",").alias("class"),
     )
 
 
+def merge_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _merged(spark, sf_dir)
+
+
+def merge_classes_cautious(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model never replaces classes, so those it doesn't name stay too."""
+    return _merged(spark, sf_dir, over_common=1.0, over_keywords=1.0)
+
+
 def classify_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = tables.scan_comments(inputs.comments(spark, sf_dir), inputs.DAY)
     return jobs.classify_comments(scanned, inputs.dictionary(spark), _comment_model(spark, sf_dir))
@@ -400,6 +443,13 @@ def noun_predicate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pairs(spark, sf_dir, None)
 
 
+def noun_predicate_pairs_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job with letter variants folded and some words left out: what was ``étion`` may now be ``etion``."""
+    return jobs.count_pairs(
+        inputs.comments(spark, sf_dir), inputs.lexicon(spark), variants=inputs.VARIANTS, stop_words=["are", "eau"]
+    )
+
+
 def noun_predicate_pairs_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pairs(spark, sf_dir, False)
 
@@ -413,10 +463,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "prediction_lines": prediction_lines,
     "prediction_lines_unlabelled": prediction_lines_unlabelled,
     "training_tokens": training_tokens,
+    "training_tokens_folded": training_tokens_folded,
     "encoding_fallback": encoding_fallback,
     "sink_partition_roundtrip": sink_partition_roundtrip,
     "sink_string_partition": sink_string_partition,
+    "sink_ddl": sink_ddl,
     "sink_hour_roundtrip": sink_hour_roundtrip,
+    "lines_out_roundtrip": lines_out_roundtrip,
     "fold_width": fold_width_forms,
     "fold_variants": fold_variant_letters,
     "tokenize": tokens,
@@ -430,6 +483,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "keyword_dictionary": keyword_dictionary,
     "ambiguous_keywords": ambiguous_keywords,
     "keyword_hits": keyword_hits,
+    "keyword_hits_large_dictionary": keyword_hits_large_dictionary,
     "keyword_classes": keyword_classes,
     "keyword_classes_by_join": keyword_classes_by_join,
     "keyword_vote_top3": keyword_vote_top3,
@@ -439,6 +493,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "class_prior": class_prior,
     "features_binary": features_binary,
     "features_counts": features_counts,
+    "features_labelled": features_labelled,
     "train_term_weights": train_term_weights,
     "train_term_weights_by_join": train_term_weights_by_join,
     "train_all_passes": train_all_passes,
@@ -448,28 +503,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "predict_with_gate": predict_with_gate,
     "predict_top3": predict_top3,
     "merge_classes": merge_classes,
+    "merge_classes_cautious": merge_classes_cautious,
     "classify_comments": classify_comments,
     "score_messages_hourly": score_messages_hourly,
     "score_lines": score_lines,
     "training_fit_report": training_fit_report,
     "noun_predicate_pairs": noun_predicate_pairs,
+    "noun_predicate_pairs_folded": noun_predicate_pairs_folded,
     "noun_predicate_pairs_by_join": noun_predicate_pairs_by_join,
 }
-
-# The models that queries apply without training them.
-_APPLIED = {
-    "class_distribution": _plain_model,
-    "class_distribution_by_join": _plain_model,
-    "predict_with_gate": _plain_model,
-    "predict_top3": _plain_model,
-    "merge_classes": _comment_model,
-    "classify_comments": _comment_model,
-    "score_messages_hourly": _message_model,
-    "score_lines": _message_model,
-}
-
-
-def prepare(spark: SparkSession, name: str, sf_dir: str) -> None:
-    """Train the model a query applies, if it applies one."""
-    if name in _APPLIED:
-        _APPLIED[name](spark, sf_dir)

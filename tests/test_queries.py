@@ -5,8 +5,8 @@ import pytest
 
 import __spark_entry__ as entry_points
 
-QUERIES = entry_points.queries()
 ORACLE = entry_points.oracle_sql()
+QUERIES = {name: query for name, query in entry_points.queries().items() if name in ORACLE}
 
 
 @pytest.fixture(scope="module")

@@ -66,7 +66,7 @@ def test_pairs(spark, in_tasks):
     table = spark.createDataFrame(LEXICON, "word string, nature string")
     found = pairs.noun_predicate_pairs(texts, table, in_tasks=in_tasks)
     assert {(row["words"], row["nature"]): row["cnt"] for row in found.collect()} == expected
-    assert found.schema.simpleString() == "struct<words:string,nature:string,cnt:int>"
+    assert found.schema.simpleString() == "struct<words:string,nature:string,cnt:bigint>"
 
 
 @pytest.mark.parametrize("in_tasks", [True, False])
