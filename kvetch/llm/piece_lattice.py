@@ -301,7 +301,8 @@ class Words:
             return ends([last + look] * n, len(last), sources)
         through = ends([head] * n, len(head), sources)[:, 0]
         leaving = ends([last + look], len(last), np.zeros((1, 1), np.int64))[0]
-        middle = int(self.scores[self.entries(inner)].sum()) if inner else 0
+        entry = self.entries(inner)  # may make room for more scores
+        middle = int(self.scores[entry].sum())
         out = through[:, None] + middle + leaving[None, :]
         out[(through[:, None] <= NONE // 2) | (leaving[None, :] <= NONE // 2)] = NONE
         return out
@@ -326,7 +327,7 @@ class Words:
             return np.zeros(0, np.int32), found, origin
         solved = solve(self.pieces, [head], None, first[None, :])
         ids, _, begin = paths(self.pieces, solved, np.zeros(1, np.int64), np.array([len(head)]))
-        entry = self.entries(inner) if inner else np.zeros(0, np.int64)
+        entry = self.entries(inner)
         start = np.where(entry > 0, self.ends[np.maximum(entry, 1) - 1], 0)
         middle = self.ids[ranges(start, np.where(entry > 0, self.ends[entry] - start, 0))]
         found, _ = tails(tail, len(tail), np.zeros(1, np.int64))

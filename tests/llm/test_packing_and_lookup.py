@@ -193,6 +193,13 @@ def test_transfer_matrices_combine_in_any_grouping():
     assert product(product(a, b), c)[0, 0] == whole.best[len(text)]
 
 
+def test_words_make_room_while_a_chunk_is_read():
+    words, fresh = (piece_lattice.Words(PIECE_MODEL) for _ in range(2))
+    words.ends, words.scores, words.ids = words.ends[:2], words.scores[:2], words.ids[:2]
+    text = " the reer in ontion" * 5
+    assert (words.matrix(text, " and") == fresh.matrix(text, " and")).all()
+
+
 def test_lattice_of_an_empty_table(nothing):
     assert piece_lattice.digest(piece_lattice.encode(nothing, PIECE_MODEL), PIECE_MODEL).count() == 0
 
