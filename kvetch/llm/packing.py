@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kvetch.llm.common import ranges, slices
+from kvetch.llm.common import ranges, slices, text_bytes, word_keys
 
 FULL = 2048
 END_ID = 1
@@ -39,7 +39,8 @@ _encoders: dict[str, WordEncoder] = {}
 class WordEncoder:
     """Ids of texts from a tokenizer that drops white space and never joins across it.
 
-    Each distinct word is encoded once per worker and then looked up.
+    Each distinct word is encoded once per worker and then looked up, in flat arrays of some
+    tens of bytes a word.
     """
 
     def __init__(self, path: str) -> None:
@@ -49,31 +50,56 @@ class WordEncoder:
         self.clear()
 
     def clear(self) -> None:
-        self.places: dict[str, int] = {"": 0}
-        self.ids = np.zeros(1 << 16, np.int32)
-        self.ends = np.zeros(1 << 16, np.int64)  # entry k lies between ends[k - 1] and ends[k]; 0 is empty
-
-    def entries(self, words: list[str]) -> np.ndarray:
-        places = self.places
-        new = list(dict.fromkeys(word for word in words if word not in places))
+        """Entry 0 is the empty word; entry k's ids and bytes end at ``ends[k]`` and ``stops[k]``."""
+        self.keys, self.entry = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # hashes of words, ascending
+        self.ids, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self.blob, self.stops = np.zeros(0, np.uint8), np.zeros(1, np.int64)
+
+    def known(self, keys: np.ndarray, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Entries of words by hash, confirmed by their bytes; -1 for others."""
+        out = np.full(len(keys), -1, np.int64)
+        if len(self.keys) == 0:
+            return out
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        entry, sizes = self.entry[at], np.diff(starts)
+        hit = np.flatnonzero((self.keys[at] == keys) & (self.stops[entry] - self.stops[entry - 1] == sizes) & (sizes > 0))
+        if len(hit):
+            same = self.blob[ranges(self.stops[entry[hit] - 1], sizes[hit])] == data[ranges(starts[hit], sizes[hit])]
+            whole = np.logical_and.reduceat(same, np.cumsum(sizes[hit]) - sizes[hit])
+            out[hit[whole]] = entry[hit[whole]]
+        return out
+
+    def entries(self, words: pa.Array) -> np.ndarray:
+        """Entries of distinct words without white space, after encoding the new ones."""
+        data, starts = text_bytes(words)
+        sizes = np.diff(starts)
+        full = sizes > 0
+        keys = np.zeros(len(sizes), np.uint64)
+        keys[full] = word_keys(data, starts)[0]
+        out = np.where(full, self.known(keys, data, starts), 0)
+        new = np.flatnonzero(out < 0)
+        if len(new) == 0:
+            return out
+        found = []
         for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            found = [x.ids for x in self.tokenizer.encode_batch(part, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            first, used = len(places), int(self.ends[len(places) - 1])
-            need, total = first + len(part), used + int(sizes.sum())
-            if need > len(self.ends):
-                self.ends = np.resize(self.ends, max(need, 2 * len(self.ends)))
-            if total > len(self.ids):
-                self.ids = np.resize(self.ids, max(total, 2 * len(self.ids)))
-            self.ends[first:need] = used + np.cumsum(sizes)
-            self.ids[used:total] = np.fromiter((i for x in found for i in x), np.int32, total - used)
-            places.update(zip(part, range(first, need), strict=True))
-        return np.fromiter((places[word] for word in words), np.int64, len(words))
+            part = words.take(pa.array(new[at : at + 20_000])).to_pylist()
+            found += [x.ids for x in self.tokenizer.encode_batch(part, add_special_tokens=False)]
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        first = len(self.ends)
+        self.ids = np.concatenate([self.ids, np.fromiter((i for x in found for i in x), np.int32, int(counts.sum()))])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(counts)])
+        self.blob = np.concatenate([self.blob, data[ranges(starts[new], sizes[new])]])
+        self.stops = np.concatenate([self.stops, self.stops[-1] + np.cumsum(sizes[new])])
+        out[new] = np.arange(first, first + len(new))
+        order = np.argsort(keys[new], kind="stable")
+        place = np.searchsorted(self.keys, keys[new][order])
+        self.keys = np.insert(self.keys, place, keys[new][order])
+        self.entry = np.insert(self.entry, place, out[new][order])
+        return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each closed by END_ID, and where each text's ids start."""
-        if len(self.places) > CACHE_WORDS:
+        if len(self.keys) > CACHE_WORDS:
             self.clear()
         split = pc.ascii_split_whitespace(pc.fill_null(texts, "").cast(pa.large_string()))
         coded = split.flatten().dictionary_encode()
@@ -82,7 +108,11 @@ class WordEncoder:
         whole = pc.is_null(parts)
         core = pc.if_else(whole, words, pc.ascii_lower(pc.fill_null(parts.field("core"), "")))
         tail = pc.if_else(whole, "", pc.fill_null(parts.field("tail"), ""))
-        pair = np.stack([self.entries(core.to_pylist()), self.entries(tail.to_pylist())], 1)
+        pair = []
+        for side in (core, tail):
+            coded_side = side.dictionary_encode()
+            pair.append(self.entries(coded_side.dictionary)[coded_side.indices.to_numpy(zero_copy_only=False)])
+        pair = np.stack(pair, 1)
         begin = np.where(pair > 0, self.ends[np.maximum(pair, 1) - 1], 0)
         size = np.where(pair > 0, self.ends[pair] - begin, 0)
         # The ids of each distinct word, then those of each place.
