@@ -26,8 +26,10 @@ RULE_LINES = [
     "C\t2\tund ein",
     "B\t2\tci el",
     "A\t3\tst nd",
-    "D\t1\tworthy ha",
-    "D\t2\tworthy ha",
+    "D\t1\tof worthy",
+    "D\t2\tof worthy",
+    "E\t1\tworthy by",
+    "E\t2\tworthy by",
 ]
 # The dictionary these lines make.
 DICTIONARY = [
@@ -35,7 +37,8 @@ DICTIONARY = [
     ("m", "thing", "A-2"), ("m", "rest", "A-2"), ("d", "ti", "A-2"), ("m", "eau", "B-1"), ("d", "oi", "B-1"),
     ("m", "zu", "C-1"), ("d", "ein", "C-1"), ("d", "ein", "C-2"), ("m", "und", "C-2"), ("m", "ci", "B-2"),
     ("d", "el", "B-2"), ("m", "st", "A-3"), ("d", "nd", "A-3"),
-    ("m", "worthy", "D-1"), ("d", "ha", "D-1"), ("m", "worthy", "D-2"), ("d", "ha", "D-2"),
+    ("m", "of", "D-1"), ("d", "worthy", "D-1"), ("m", "of", "D-2"), ("d", "worthy", "D-2"),
+    ("m", "worthy", "E-1"), ("d", "by", "E-1"), ("m", "worthy", "E-2"), ("d", "by", "E-2"),
 ]
 LEXICON = [
     ("thing", "n"), ("eau", "nz"), ("rest", "n"), ("tion", "nr"), ("worthless", "a"), ("pathetic", "ad"),

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from kvetch.functions.text import FEATURE_STOP_WORDS, FULL_WIDTH, HALF_WIDTH, TRAINING_STOP_WORDS
 from kvetch.operators.keywords import NO_CLASS
-from kvetch.operators.keywords import MAX_LITERALS
 from registry import inputs
 from registry.queries import PASSES, PASSES_BY_JOIN
 
@@ -344,10 +343,9 @@ ORACLE_SQL: dict[str, str] = {
         FROM (SELECT role, word FROM dictionary GROUP BY ALL HAVING count(DISTINCT class) > 1)""",
     "keyword_hits": f"WITH {_SOME_TOKENS}, {_KEYWORDS} SELECT doc_id, words FROM keyed",
     "keyword_hits_large_dictionary": f"""WITH {_RULES}, {_SOME_TOKENS},
-        few AS (SELECT DISTINCT word FROM dictionary WHERE regexp_matches(word, '^\\p{{L}}+$') ORDER BY word LIMIT {MAX_LITERALS}),
         places AS (SELECT doc_id, unnest(tokens) AS word, generate_subscripts(tokens, 1) AS pos FROM tokens),
         hits AS (SELECT doc_id, pos, role, word FROM places
-                 JOIN (SELECT DISTINCT role, word FROM dictionary WHERE word IN (SELECT word FROM few)) USING (word))
+                 JOIN (SELECT DISTINCT role, word FROM dictionary) USING (word))
         SELECT t.doc_id, coalesce(string_agg(word, ',' ORDER BY pos) FILTER (role = 'm'), '') || '|' ||
                coalesce(string_agg(word, ',' ORDER BY pos) FILTER (role = 'd'), '') AS words
         FROM tokens t LEFT JOIN hits USING (doc_id) GROUP BY t.doc_id""",

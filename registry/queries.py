@@ -261,10 +261,8 @@ def keyword_classes_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keyword_hits_large_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Thousands of words: the dictionary of the documents' own rule lines, within the limit of literals."""
-    dictionary = _rule_dictionary(spark, sf_dir).where(F.col("word").rlike(r"^\p{L}+$"))
-    words = dictionary.select("word").distinct().orderBy("word").limit(keywords.MAX_LITERALS)
-    hits = keywords.keyword_hits(_some_tokens(spark, sf_dir), dictionary.join(F.broadcast(words), "word", "left_semi"))
+    """Thousands of words: the dictionary of the documents' own rule lines."""
+    hits = keywords.keyword_hits(_some_tokens(spark, sf_dir), _rule_dictionary(spark, sf_dir))
     return hits.select("doc_id", keywords.matched_words().alias("words"))
 
 
