@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kvetch.llm.common import components, mix, slices, text_bytes, word_keys, written
+from kvetch.llm.common import components, mix, release, released, slices, text_bytes, word_keys, written
 
 SHINGLE = 4
 PERCENT = 80
@@ -96,8 +96,8 @@ def signatures(documents: DataFrame, size: int, bands: int, rows: int) -> DataFr
     count = -(-bands * rows // 2)
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
+        for batch in released(batches):
+            for part in slices(batch, "text", 1 << 20):
                 sizes, digests, bands_of = [], [], []
                 for keys in shingle_sets(part.column("text"), size):
                     sizes.append(len(keys))
@@ -170,6 +170,7 @@ def joined_groups(members: DataFrame, percent: int) -> DataFrame:
             if b - a > 1:
                 sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in keys[a:b]]
                 edges += spanning(ids[a:b], links(sets, percent))
+        release()
         return pa.table([pa.array([e[k] for e in edges], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     dealt = members.select("cluster", "slot", "doc_id", "keys").withColumn(
@@ -197,8 +198,8 @@ def linked_edges(documents: DataFrame, signed: DataFrame, size: int, percent: in
     found = written(clusters(signed), "clusters")
 
     def with_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
+        for batch in released(batches):
+            for part in slices(batch, "text", 1 << 20):
                 keys = [x.tobytes() for x in shingle_sets(part.column("text"), size)]
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(x) for x in ("doc_id", "cluster", "degree")), pa.array(keys, pa.binary())],

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kvetch.llm.common import ranges, slices, text_bytes, word_keys
+from kvetch.llm.common import ranges, released, slices, text_bytes, word_keys
 
 FULL = 2048
 END_ID = 1
@@ -152,7 +152,7 @@ def pack(documents: DataFrame, tokenizer: str, full: int = FULL, with_ids: bool
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             for part in slices(batch, "text"):
                 ids, starts = encoder(tokenizer).encode(part.column("text"))
                 raw = ids.astype("<u4")

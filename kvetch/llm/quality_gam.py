@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kvetch.llm.common import slices, text_bytes
+from kvetch.llm.common import released, slices, text_bytes
 
 SAMPLE_ROWS = 20_000
 THRESHOLD = 0.3
@@ -212,8 +212,8 @@ def train(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROW
     found = documents.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("text", "quality")
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
+        for batch in released(batches):
+            for part in slices(batch, "text", 1 << 20):
                 rows = feature_matrix(part.column("text"))
                 values = pa.FixedSizeListArray.from_arrays(pa.array(rows.ravel()), len(FEATURES)).cast(pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([values, part.column("quality")], names=["x", "quality"])
@@ -232,8 +232,8 @@ def with_score(documents: DataFrame, model: Model, name: str = "score") -> DataF
     names = schema.names
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
+        for batch in released(batches):
+            for part in slices(batch, "text", 1 << 20):
                 score = pa.array(model.score(feature_matrix(part.column("text"))))
                 yield pa.RecordBatch.from_arrays([*part.columns, score], names=names)
 
