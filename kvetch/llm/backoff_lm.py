@@ -78,20 +78,23 @@ class Block:
             self.grams.append((kept if size == 1 else kept << shift, counts, whole, inverse))
 
 
-REQUEST = "block int, size int, bucket int, keys binary, counts binary"
+REQUEST = "block int, bucket int, keys array<binary>, counts array<binary>"
 
 
 def requests(table: pa.Table, buckets: int, order: int) -> pa.Table:
-    """A block's distinct n-grams with their counts in its training texts, by bucket."""
+    """A block's distinct n-grams with their counts in its training texts: a row per bucket, n-grams by size."""
     block, rows = Block(table, order), []
     number = table["block"][0].as_py()
-    for size, (keys, counts, _, _) in enumerate(block.grams, 1):
-        shift = np.uint64(0 if size == 1 else 64 - GRAM_BITS)
-        cuts = bucket_cuts(keys, buckets)
-        for k in np.flatnonzero(np.diff(cuts)).tolist():
-            s = slice(cuts[k], cuts[k + 1])
-            rows.append((number, size, k, packed_keys(keys[s] >> shift), planes(counts[s])))
-    return table_of(rows, [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()], ["block", "size", "bucket", "keys", "counts"])
+    cuts = [bucket_cuts(keys, buckets) for keys, _, _, _ in block.grams]
+    shifts = [np.uint64(0 if size == 0 else 64 - GRAM_BITS) for size in range(order)]
+    for k in np.flatnonzero(sum(map(np.diff, cuts))).tolist():
+        parts = [slice(c[k], c[k + 1]) for c in cuts]
+        rows.append((
+            number, k, [packed_keys(g[0][s] >> shift) for g, s, shift in zip(block.grams, parts, shifts, strict=True)],
+            [planes(g[1][s]) for g, s in zip(block.grams, parts, strict=True)],
+        ))
+    lists = pa.list_(pa.binary())
+    return table_of(rows, [pa.int32(), pa.int32(), lists, lists], ["block", "bucket", "keys", "counts"])
 
 
 def table_of(rows: list[tuple], types: list[pa.DataType], names: list[str]) -> pa.Table:
@@ -101,31 +104,34 @@ def table_of(rows: list[tuple], types: list[pa.DataType], names: list[str]) -> p
 
 def totals(table: pa.Table) -> pa.Table:
     """For each block's n-grams of a bucket the counts over all blocks; and the bucket's share of N and V."""
-    held = [unpacked_keys(x) for x in table["keys"].to_pylist()]
-    counts = np.concatenate([from_planes(x) for x in table["counts"].to_pylist()])
-    keys, at = np.unique(np.concatenate(held), return_inverse=True)
-    total = np.bincount(at, weights=counts, minlength=len(keys)).astype(np.int64)
-    size, bucket = table["size"][0].as_py(), table["bucket"][0].as_py()
-    rows, start = [], 0
-    for block, own in zip(table["block"].to_pylist(), held, strict=True):
-        rows.append((block, size, bucket, planes(total[at[start : start + len(own)]]), 0, 0))
-        start += len(own)
-    if size == 1:
-        token = keys != START
-        tokens, kinds = int(total[token].sum()), int((total[token] > 0).sum())
-        rows[0] = (*rows[0][:4], tokens, kinds)
-    types = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64()]
-    return table_of(rows, types, ["block", "size", "bucket", "counts", "tokens", "kinds"])
+    columns = table["keys"].to_pylist(), table["counts"].to_pylist()
+    replies = [[] for _ in range(table.num_rows)]
+    tokens = kinds = 0
+    for size in range(len(columns[0][0])):
+        held = [unpacked_keys(x[size]) for x in columns[0]]
+        counts = np.concatenate([from_planes(x[size]) for x in columns[1]])
+        keys, at = np.unique(np.concatenate(held), return_inverse=True)
+        total = np.bincount(at, weights=counts, minlength=len(keys)).astype(np.int64)
+        start = 0
+        for reply, own in zip(replies, held, strict=True):
+            reply.append(planes(total[at[start : start + len(own)]]))
+            start += len(own)
+        if size == 0:
+            token = keys != START
+            tokens, kinds = int(total[token].sum()), int((total[token] > 0).sum())
+    bucket = table["bucket"][0].as_py()
+    rows = [(block, bucket, reply, 0, 0) for block, reply in zip(table["block"].to_pylist(), replies, strict=True)]
+    rows[0] = (*rows[0][:3], tokens, kinds)
+    types = [pa.int32(), pa.int32(), pa.list_(pa.binary()), pa.int64(), pa.int64()]
+    return table_of(rows, types, ["block", "bucket", "counts", "tokens", "kinds"])
 
 
 def scores(text: pa.Table, replies: pa.Table, order: int, strength: float) -> pa.Table:
     """Walk the texts of a block along the arcs."""
     block = Block(text, order)
     all_tokens, kinds = (replies[x][0].as_py() for x in ("all_tokens", "all_kinds"))
-    replies = replies.sort_by([("size", "ascending"), ("bucket", "ascending")])
-    counts = {size: [] for size in range(1, order + 1)}
-    for size, raw in zip(replies["size"].to_pylist(), replies["counts"].to_pylist(), strict=True):
-        counts[size].append(from_planes(raw))
+    told = replies.sort_by("bucket")["counts"].to_pylist()
+    counts = {size: [from_planes(x[size - 1]) for x in told] for size in range(1, order + 1)}
     log_p, before = None, None
     for size, (_, _, whole, inverse) in enumerate(block.grams, 1):
         # The count of the gram that ends at each place; 0 where the text is shorter.
@@ -163,8 +169,8 @@ def score(documents: DataFrame, order: int = ORDER, strength: float = STRENGTH)
     buckets = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     by_block = dealt.groupBy("block")
     asked = by_block.applyInArrow(lambda table: requests(table, buckets, order), REQUEST)
-    answered = asked.groupBy("size", "bucket").applyInArrow(
-        totals, "block int, size int, bucket int, counts binary, tokens long, kinds long"
+    answered = asked.groupBy("bucket").applyInArrow(
+        totals, "block int, bucket int, counts array<binary>, tokens long, kinds long"
     )
     corpus = answered.agg(
         F.coalesce(F.sum("tokens"), F.lit(0)).alias("all_tokens"), F.coalesce(F.sum("kinds"), F.lit(0)).alias("all_kinds")
