@@ -73,6 +73,61 @@ def test_license_rules_are_ordered_and_gated():
     assert all(license_scan.BASE_WEIGHT <= r.weight for r in rules)
 
 
+def wordings(pattern):
+    """Examples of what a pattern matches: all choices, repeated parts none, one and two times."""
+    def of(tree):
+        out = [""]
+        for op, value in tree:
+            name = str(op)
+            if name == "LITERAL":
+                more = [chr(value)]
+            elif name == "IN":
+                more = [chr(x if str(kind) == "LITERAL" else x[0]) for kind, x in value]
+            elif name == "BRANCH":
+                more = [x for branch in value[1] for x in of(branch)]
+            elif name == "SUBPATTERN":
+                more = of(value[-1])
+            else:
+                assert name == "MAX_REPEAT"
+                more = [x * k for x in of(value[2]) for k in range(value[0], min(value[1], 2) + 1)]
+            out = [a + b for a in out for b in dict.fromkeys(more)]
+        return out
+
+    return list(dict.fromkeys(of(re._parser.parse(pattern))))
+
+
+def test_license_keywords_are_words_of_every_match():
+    for rule in license_scan.all_rules():
+        for wording in wordings(rule.pattern):
+            assert rule.keyword in wording.split(), (rule, wording)
+
+
+def test_license_scan_with_its_gate_equals_all_rules_tried(spark):
+    cases = [
+        "Educational Community License, Version 2.0", "THE BEER-WARE LICENSE (Revision 42)", "Beerware licence", "SPDX 0BSD", "0BSD License",
+        "0-BSD", "Zero-Clause BSD", "The Unlicence", "The Unlicense", "WTFPL", "do what the fuck you want to public license",
+    ] + [max(wordings(r.pattern), key=len) for r in license_scan.all_rules()[::5]]
+
+    def ungated(text):
+        found = license_words(text)
+        form, rules = "".join(f" {w} " for w in found), license_scan.all_rules()
+        hits = []
+        for number, rule in enumerate(rules):
+            for m in re.finditer(license_scan.expression(rule.pattern), form):
+                first = form[: m.start()].count(" ") // 2
+                hits.append((first, -(first + m.group().count(" ") // 2 - 1), -rule.priority, number))
+        kept = [h for h in hits if not any(k[1] <= h[1] and k[2] <= h[2] for k in hits if k < h)]
+        base = {label for p, label in license_scan.BASE.items() if f" {p.replace(' ', '  ')} " in form}
+        labels = base | {rules[h[3]].label for h in kept}
+        return ",".join(sorted(labels)), max([rules[h[3]].weight for h in kept] + [0.5 if base else 0.0])
+
+    got = license_scan.scan(texts.table(spark, list(enumerate(cases)))).collect()
+    assert {r["doc_id"]: (r["labels"], r["score"]) for r in got} == {k: ungated(t) for k, t in enumerate(cases)}
+    assert [r["labels"] for r in sorted(got, key=lambda r: r["doc_id"])[:9]] == [
+        "ecl-2.0", "beerware", "beerware", "0bsd", "0bsd", "0bsd", "0bsd", "unlicense", "unlicense"
+    ]
+
+
 def test_edited_texts_and_likeness(spark, documents, rows):
     got = syncmers.compare_with_next(documents).collect()
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
