@@ -4,7 +4,8 @@ Equal vectors are one class; only classes are searched, so a vector that makes u
 other. Then
 
 1. *Shards.* Centroids are fitted on at most ``SAMPLE`` classes (the smallest hashes). Each class belongs to the shards of its
-   ``OVERLAP`` nearest centroids. Shards beyond ``SHARD`` classes are dealt into parts by hash.
+   ``OVERLAP`` nearest centroids. What each shard holds is counted: members are dealt by hash into parts of about ``PART * SHARD``,
+   queries into turns of about ``TURN * SHARD``, so a task has a part and a turn however dense the vectors lie.
 2. *Build.* In each part every vector gets candidates (near ones and a few at random), of which robust pruning keeps those that no
    kept one stands in front of; reverse edges are added.
 3. *Union.* The adjacency lists of a class from all its shards are united.
@@ -31,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kvetch.llm.common import components, written
+from kvetch.llm.common import components, ranges, written
 
 COSINE = 0.9
 SAMPLE = 20_000
@@ -46,6 +47,11 @@ MAX_DEGREE = 64
 ALPHA = 1.2
 BEAM = 32
 STRIDE = 4
+# Members of a part and queries of a turn, in shards' sizes; an even shard has OVERLAP and PROBES of them.
+PART = 3
+TURN = 6
+# Rows that are dealt out at once.
+DEALT = 20_000
 SLACK = 0.08
 AUDIT = 200
 RECALL = 0.98
@@ -171,38 +177,89 @@ def range_search(rows: np.ndarray, lists: np.ndarray, starts: list[int], queries
     return np.nonzero(known >= cosine - 1e-4)
 
 
-def found_links(classes: DataFrame, centroids: dict[int, np.ndarray], parts: list[int], overlap: int, probes: int, beam: int, cosine: float) -> DataFrame:
+def nearest_shards(batch: pa.RecordBatch, centroids: dict[int, np.ndarray], probes: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of one length of vectors and their shards, the nearest first."""
+    base = dict(zip(centroids, np.cumsum([0, *map(len, centroids.values())])[:-1].tolist(), strict=True))
+    widths = pc.binary_length(batch.column("bytes")).to_numpy() // 8
+    for width in np.unique(widths).tolist():
+        rows = np.flatnonzero(widths == width)
+        near = unit(vector_rows(batch.take(pa.array(rows)), "bytes")).astype(np.float32) @ centroids[width].T
+        yield rows, np.argsort(-near, axis=1, kind="stable")[:, : min(probes, near.shape[1])] + base[width]
+
+
+def parts_and_turns(classes: DataFrame, centroids: dict[int, np.ndarray], overlap: int, probes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Into how many parts each shard's members are dealt, and into how many turns its queries."""
+    shards = sum(map(len, centroids.values()))
+    sent = classes.sparkSession.sparkContext.broadcast(centroids)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        members, queries = np.zeros(shards, np.int64), np.zeros(shards, np.int64)
+        for batch in batches:
+            for _, order in nearest_shards(batch, sent.value, probes):
+                members += np.bincount(order[:, :overlap].ravel(), minlength=shards)
+                queries += np.bincount(order.ravel(), minlength=shards)
+        held = np.flatnonzero(queries)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(held, pa.int32()), pa.array(members[held]), pa.array(queries[held])], names=["shard", "members", "queries"]
+        )
+
+    counts = classes.select("bytes").mapInArrow(counted, "shard int, members long, queries long").groupBy("shard").agg(
+        F.sum("members").alias("members"), F.sum("queries").alias("queries")
+    )
+    parts, turns = np.ones(shards, np.int64), np.ones(shards, np.int64)
+    for r in counts.collect():
+        parts[r["shard"]] = max(1, -(-r["members"] // (PART * SHARD)))
+        turns[r["shard"]] = max(1, -(-r["queries"] // (TURN * SHARD)))
+    return parts, turns
+
+
+def found_links(
+    classes: DataFrame, centroids: dict[int, np.ndarray], parts: np.ndarray, turns: np.ndarray, overlap: int, probes: int, beam: int, cosine: float
+) -> DataFrame:
     """Pairs ``a`` < ``b`` of classes in range of each other."""
-    sent = classes.sparkSession.sparkContext.broadcast((centroids, parts))
+    sent = classes.sparkSession.sparkContext.broadcast((centroids, parts, turns))
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for each shard and part: members go to one part of a shard, queries to all."""
-        centroids, parts = sent.value
-        base = dict(zip(centroids, np.cumsum([0, *map(len, centroids.values())])[:-1].tolist(), strict=True))
+        """A row for each shard, part and turn: members go to one part and all turns, queries to all parts and one turn."""
+        centroids, parts, turns = sent.value
         for batch in batches:
-            ids = batch.column("class").to_numpy()
-            widths = pc.binary_length(batch.column("bytes")).to_numpy() // 8
-            for width in np.unique(widths).tolist():
-                rows = np.flatnonzero(widths == width)
-                part = batch.take(pa.array(rows))
-                near = unit(vector_rows(part, "bytes")).astype(np.float32) @ centroids[width].T
-                take = min(probes, near.shape[1])
-                order = np.argsort(-near, axis=1, kind="stable")[:, :take] + base[width]
-                # A class's part is the same in all shards that have as many.
-                for rank in range(take):
-                    shard = order[:, rank]
-                    count = np.array(parts, np.int64)[shard]
-                    own = ids[rows].view(np.uint64) % count.astype(np.uint64)
-                    at = np.repeat(np.arange(len(rows)), count)
-                    place = np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count)
-                    member = (place == own[at].astype(np.int64)) if rank < overlap else np.zeros(len(at), bool)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(shard[at], pa.int32()), pa.array(place, pa.int32()), pa.array(member), part.column("class").take(pa.array(at)),
-                         part.column("bytes").take(pa.array(at))],
-                        names=["shard", "part", "member", "class", "bytes"],
-                    )
-
-    placed = classes.select("class", "bytes").mapInArrow(dealt, "shard int, part int, member boolean, class long, bytes binary")
+            ids = batch.column("class").to_numpy().view(np.uint64)
+            for rows, order in nearest_shards(batch, centroids, probes):
+                for rank in range(order.shape[1]):
+                    count, rounds = parts[order[:, rank]], turns[order[:, rank]]
+                    step = max(1, DEALT // int((count + rounds).max()))
+                    for lo in range(0, len(rows), step):
+                        yield cells(batch, ids, rows[lo : lo + step], order[lo : lo + step, rank], count[lo : lo + step], rounds[lo : lo + step], rank < overlap)
+
+    def cells(
+        batch: pa.RecordBatch, ids: np.ndarray, rows: np.ndarray, shard: np.ndarray, count: np.ndarray, rounds: np.ndarray, inside: bool
+    ) -> pa.RecordBatch:
+        # A class's part and turn are the same in all shards that have as many.
+        own_part = (ids[rows] % count.astype(np.uint64)).astype(np.int64)
+        own_turn = ((ids[rows] >> np.uint64(32)) % rounds.astype(np.uint64)).astype(np.int64)
+        every = np.arange(len(rows))
+        at = np.repeat(every, count)
+        place = ranges(np.zeros_like(count), count)
+        turn, asks = own_turn[at], np.ones(len(at), bool)
+        member = (place == own_part[at]) & inside
+        if inside:
+            # Members stand in the other turns too, where they don't ask.
+            more = np.repeat(every, rounds - 1)
+            other = ranges(np.zeros_like(rounds), rounds - 1)
+            other += other >= own_turn[more]
+            at, place, turn = np.concatenate([at, more]), np.concatenate([place, own_part[more]]), np.concatenate([turn, other])
+            asks = np.concatenate([asks, np.zeros(len(more), bool)])
+            member = np.concatenate([member, np.ones(len(more), bool)])
+        part = batch.take(pa.array(rows[at]))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(shard[at], pa.int32()), pa.array(place, pa.int32()), pa.array(turn, pa.int32()), pa.array(member), pa.array(asks),
+             part.column("class"), part.column("bytes")],
+            names=["shard", "part", "turn", "member", "asks", "class", "bytes"],
+        )
+
+    placed = classes.select("class", "bytes").mapInArrow(
+        dealt, "shard int, part int, turn int, member boolean, asks boolean, class long, bytes binary"
+    )
 
     def build(table: pa.Table) -> pa.Table:
         table = table.sort_by("class").combine_chunks()
@@ -216,7 +273,7 @@ def found_links(classes: DataFrame, centroids: dict[int, np.ndarray], parts: lis
         first[medoid(rows)] = True
         return pa.table([table["class"], flat, pa.array(first)], names=["class", "near", "medoid"])
 
-    edges = placed.where("member").groupBy("shard", "part").applyInArrow(build, "class long, near array<long>, medoid boolean")
+    edges = placed.where("member and asks").groupBy("shard", "part").applyInArrow(build, "class long, near array<long>, medoid boolean")
     # A class is a member of OVERLAP shards at most, so few lists meet.
     united = edges.groupBy("class").agg(
         F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"), F.max("medoid").alias("medoid")
@@ -226,8 +283,8 @@ def found_links(classes: DataFrame, centroids: dict[int, np.ndarray], parts: lis
         table = table.sort_by("class").combine_chunks()
         member = table["member"].to_numpy(zero_copy_only=False)
         all_ids, exact = table["class"].to_numpy(), unit(vector_rows(table, "bytes"))
-        inside = np.flatnonzero(member)
-        a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        inside, asking = np.flatnonzero(member), np.flatnonzero(table["asks"].to_numpy(zero_copy_only=False))
+        pairs, n = [np.zeros(0, np.int64)], max(1, len(all_ids))
         if len(inside):
             ids, rows = all_ids[inside], exact[inside].astype(np.float32)
             members = table.take(pa.array(inside))
@@ -244,22 +301,21 @@ def found_links(classes: DataFrame, centroids: dict[int, np.ndarray], parts: lis
             column = np.arange(len(owner)) - np.searchsorted(owner, owner)
             lists[owner, column] = place
             starts = sorted({medoid(rows), *np.flatnonzero(members["medoid"].to_numpy(zero_copy_only=False)).tolist()})
-            hits = []
-            for at in range(0, len(all_ids), QUERIES):
-                q, r = range_search(rows, lists, starts, exact[at : at + QUERIES].astype(np.float32), cosine, beam)
-                hits.append((q + at, inside[r]))
-            a, b = (np.concatenate([x[k] for x in hits]) for k in (0, 1))
-            good = np.concatenate([
-                np.einsum("ij,ij->i", exact[a[k : k + (1 << 16)]], exact[b[k : k + (1 << 16)]]) >= cosine for k in range(0, len(a), 1 << 16)
-            ]) if len(a) else np.zeros(0, bool)
-            a, b = all_ids[a[good]], all_ids[b[good]]
-            a, b = np.minimum(a, b), np.maximum(a, b)
-            pairs = np.unique(np.stack([a, b], 1)[a < b], axis=0)
-            a, b = pairs[:, 0], pairs[:, 1]
-        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-    whole = placed.join(united, "class", "left")
-    return whole.groupBy("shard", "part").applyInArrow(search, "a long, b long").distinct()
+            for at in range(0, len(asking), QUERIES):
+                some = asking[at : at + QUERIES]
+                q, r = range_search(rows, lists, starts, exact[some].astype(np.float32), cosine, beam)
+                a, b = some[q], inside[r]
+                for k in range(0, len(a), 1 << 16):
+                    x, y = a[k : k + (1 << 16)], b[k : k + (1 << 16)]
+                    good = (x != y) & (np.einsum("ij,ij->i", exact[x], exact[y]) >= cosine)
+                    # Ids are sorted, so their places are in the same order.
+                    pairs.append(np.minimum(x, y)[good] * n + np.maximum(x, y)[good])
+        code = np.unique(np.concatenate(pairs))
+        return pa.table([pa.array(all_ids[code // n], pa.int64()), pa.array(all_ids[code % n], pa.int64())], names=["a", "b"])
+
+    # Only members' lists are read.
+    whole = placed.join(united, "class", "left").withColumn("near", F.when(F.col("member"), F.col("near")))
+    return whole.groupBy("shard", "part", "turn").applyInArrow(search, "a long, b long").distinct()
 
 
 def recall(classes: DataFrame, links: DataFrame, cosine: float) -> float:
@@ -304,13 +360,11 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
         count = min(MAX_CENTROIDS, -(-r["n"] // SHARD), sample.num_rows)
         centroids[r["width"]] = fit_centroids(unit(vector_rows(sample, "bytes")), count)
     total = sum(r["n"] for r in lengths)
-    shards = sum(map(len, centroids.values()))
     overlap, probes, beam = OVERLAP, PROBES, BEAM
     links = rows.sparkSession.createDataFrame([], "a long, b long")
     for _ in range(3 if total else 0):
-        # Parts by the shards' average size; an uneven shard stays within a few times that.
-        parts = [max(1, round(total * overlap / shards / (2 * SHARD * overlap)))] * shards
-        links = written(found_links(classes, centroids, parts, overlap, probes, beam, cosine), "links")
+        parts, turns = parts_and_turns(classes, centroids, overlap, probes)
+        links = written(found_links(classes, centroids, parts, turns, overlap, probes, beam, cosine), "links")
         if recall(classes, links, cosine) >= RECALL:
             break
         overlap, probes, beam = overlap + 1, probes * 2, beam * 2

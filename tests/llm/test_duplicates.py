@@ -158,6 +158,36 @@ def test_vector_graph_over_many_shards(spark, monkeypatch):
     assert 0.95 * true <= found <= true
 
 
+def test_vector_graph_deals_a_dense_shard_out(spark, monkeypatch):
+    """A group of near copies holds most of the table: no task may get all of it."""
+    monkeypatch.setattr(vector_graph, "SHARD", 12)
+    monkeypatch.setattr(vector_graph, "MAX_CENTROIDS", 3)
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=16)
+    rows = [(k, v.tolist()) for k, v in enumerate(rng.normal(size=(60, 16)))]
+    rows += [(100 + k, (base + rng.normal(size=16) * 0.05).tolist()) for k in range(150)]
+    sizes = []
+    build = vector_graph.parts_and_turns
+
+    def noted(classes, centroids, overlap, probes):
+        parts, turns = build(classes, centroids, overlap, probes)
+        counts = np.zeros((2, len(parts)), int)
+        for batch in classes.select("bytes").toArrow().to_batches():
+            for _, order in vector_graph.nearest_shards(batch, centroids, probes):
+                counts[0] += np.bincount(order[:, :overlap].ravel(), minlength=len(parts))
+                counts[1] += np.bincount(order.ravel(), minlength=len(parts))
+        assert counts[0].max() > 2 * 36 and counts[1].max() > 2 * 72
+        sizes.append(((counts[0] / parts).max(), (counts[1] / turns).max()))
+        return parts, turns
+
+    monkeypatch.setattr(vector_graph, "parts_and_turns", noted)
+    got = vector_graph.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    root, degree = brute_links(rows)
+    assert all(members <= 36 and queries <= 72 for members, queries in sizes)
+    assert 0.95 * sum(degree.values()) <= sum(r["n_links"] for r in got) <= sum(degree.values())
+    assert {r["vec_id"]: r["component_id"] for r in got} == root
+
+
 def test_range_search_walks_the_graph():
     rng = np.random.default_rng(0)
     rows = vector_graph.unit(rng.normal(size=(400, 8))).astype(np.float32)
