@@ -11,8 +11,10 @@ other. Then
 3. *Union.* The adjacency lists of a class from all its shards are united.
 4. *Search.* Each class is a query to the shards of its ``PROBES`` nearest centroids: a greedy search walks the united graph from the
    parts' medoids, and when it stands in range of the query it goes on to everything in range that it can reach.
-5. *Verify* each hit by the cosine in double precision, and *audit*: ``AUDIT`` queries are compared with all vectors. If the recall is
-   below ``RECALL``, shards, probes and beam are widened and the search runs again.
+5. *Verify* each hit by the cosine in double precision, and *audit*: blocks of classes, the first of ``AUDIT``, are compared with all
+   vectors until ``AUDIT_LINKS`` true links are seen. If the recall is below ``RECALL``, shards, probes and beam are widened and the
+   search runs again. If it still is after ``ROUNDS`` rounds, the remaining classes are compared with all as well. So a table with
+   too few links to measure the search by, or one that it fails on, is compared wholly, in blocks, and the links are the true ones.
 
 Links are emitted once per pair of classes, never per pair of copies.
 
@@ -54,7 +56,12 @@ TURN = 6
 DEALT = 20_000
 SLACK = 0.08
 AUDIT = 200
+AUDIT_LINKS = 100
+# Most classes that are compared with all at once, and most cosines in memory.
+ASKED = 4_000
+COSINES = 4_000_000
 RECALL = 0.98
+ROUNDS = 3
 QUERIES = 1_000
 
 
@@ -318,29 +325,58 @@ def found_links(
     return whole.groupBy("shard", "part", "turn").applyInArrow(search, "a long, b long").distinct()
 
 
-def recall(classes: DataFrame, links: DataFrame, cosine: float) -> float:
-    """The share of the links of ``AUDIT`` classes, compared with all others, that were found."""
-    asked = classes.orderBy(F.xxhash64("class")).limit(AUDIT).select("class", "bytes").toArrow()
-    if asked.num_rows == 0:
-        return 1.0
+def true_links(classes: DataFrame, asked: pa.Table, cosine: float) -> DataFrame:
+    """The links of some classes, compared with all others."""
     sent = classes.sparkSession.sparkContext.broadcast(asked)
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked = sent.value
         sizes = pc.binary_length(asked["bytes"]).to_numpy()
-        for batch in batches:
-            own = pc.binary_length(batch.column("bytes")).to_numpy()
-            for size in np.intersect1d(sizes, own).tolist():
-                left, right = asked.take(np.flatnonzero(sizes == size)), batch.take(pa.array(np.flatnonzero(own == size)))
-                q, r = np.nonzero(unit(vector_rows(left, "bytes")) @ unit(vector_rows(right, "bytes")).T >= cosine)
-                a, b = left["class"].to_numpy()[q], right.column("class").to_numpy()[r]
-                apart = a != b
-                a, b = np.minimum(a, b)[apart], np.maximum(a, b)[apart]
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
-    true = classes.select("class", "bytes").mapInArrow(compared, "a long, b long").distinct()
-    got = true.join(links.withColumn("found", F.lit(1)), ["a", "b"], "left").agg(F.count("*").alias("n"), F.count("found").alias("k")).first()
-    return got["k"] / got["n"] if got["n"] else 1.0
+        step = max(1, COSINES // asked.num_rows)
+        for whole in batches:
+            for batch in (whole.slice(at, step) for at in range(0, whole.num_rows, step)):
+                own = pc.binary_length(batch.column("bytes")).to_numpy()
+                for size in np.intersect1d(sizes, own).tolist():
+                    left, right = asked.take(np.flatnonzero(sizes == size)), batch.take(pa.array(np.flatnonzero(own == size)))
+                    q, r = np.nonzero(unit(vector_rows(left, "bytes")) @ unit(vector_rows(right, "bytes")).T >= cosine)
+                    a, b = left["class"].to_numpy()[q], right.column("class").to_numpy()[r]
+                    apart = a != b
+                    a, b = np.minimum(a, b)[apart], np.maximum(a, b)[apart]
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return classes.select("class", "bytes").mapInArrow(compared, "a long, b long").distinct()
+
+
+class Audit:
+    """The true links of the classes asked so far."""
+
+    def __init__(self, classes: DataFrame, total: int, cosine: float) -> None:
+        self.classes, self.cosine = classes, cosine
+        self.blocks = max(1, -(-total // AUDIT))
+        self.asked, self.step, self.seen = 0, 1, 0
+        self.links = classes.sparkSession.createDataFrame([], "a long, b long")
+
+    @property
+    def whole(self) -> bool:
+        return self.asked == self.blocks
+
+    def ask(self, enough: float) -> None:
+        """Ask more classes, until ``enough`` links are seen or all are asked."""
+        number = F.pmod(F.xxhash64("class", F.lit(11)), F.lit(self.blocks))
+        while self.seen < enough and not self.whole:
+            until = min(self.asked + self.step, self.blocks)
+            asked = self.classes.where((number >= self.asked) & (number < until)).select("class", "bytes").toArrow()
+            self.asked, self.step = until, min(4 * self.step, max(1, ASKED // AUDIT))
+            if asked.num_rows:
+                links = written(true_links(self.classes, asked, self.cosine), "audit")
+                self.seen += links.count()
+                self.links = self.links.union(links)
+
+    def recall(self, links: DataFrame) -> float:
+        """The share of the true links that are among ``links``."""
+        true = self.links.distinct()
+        got = true.join(links.withColumn("found", F.lit(1)), ["a", "b"], "left").agg(F.count("*").alias("n"), F.count("found").alias("k")).first()
+        return got["k"] / got["n"] if got["n"] else 1.0
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
@@ -362,12 +398,19 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     total = sum(r["n"] for r in lengths)
     overlap, probes, beam = OVERLAP, PROBES, BEAM
     links = rows.sparkSession.createDataFrame([], "a long, b long")
-    for _ in range(3 if total else 0):
+    audit = Audit(classes, total, cosine)
+    for _ in range(ROUNDS if total else 0):
         parts, turns = parts_and_turns(classes, centroids, overlap, probes)
         links = written(found_links(classes, centroids, parts, turns, overlap, probes, beam, cosine), "links")
-        if recall(classes, links, cosine) >= RECALL:
+        audit.ask(AUDIT_LINKS)
+        if audit.whole or audit.recall(links) >= RECALL:
             break
         overlap, probes, beam = overlap + 1, probes * 2, beam * 2
+    else:
+        audit.ask(float("inf"))
+    # All classes asked: their true links need no search.
+    if total and audit.whole:
+        links = written(audit.links.distinct(), "links")
     roots = components(links)
     both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     degrees = both.join(classes.select(F.col("class").alias("b"), "copies"), "b").groupBy("a").agg(F.sum("copies").alias("others"))

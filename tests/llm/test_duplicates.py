@@ -188,6 +188,24 @@ def test_vector_graph_deals_a_dense_shard_out(spark, monkeypatch):
     assert {r["vec_id"]: r["component_id"] for r in got} == root
 
 
+def test_vector_graph_keeps_links_that_the_search_misses(spark, monkeypatch):
+    """A search without results, on tables with few links and with many: no link may be lost."""
+    monkeypatch.setattr(vector_graph, "AUDIT", 10)
+    monkeypatch.setattr(vector_graph, "ASKED", 50)
+    monkeypatch.setattr(vector_graph, "AUDIT_LINKS", 4)
+    monkeypatch.setattr(vector_graph, "ROUNDS", 1)
+    monkeypatch.setattr(vector_graph, "found_links", lambda classes, *_: spark.createDataFrame([], "a long, b long"))
+    rng = np.random.default_rng(7)
+    few = [(k, v.tolist()) for k, v in enumerate(rng.normal(size=(120, 16)))]
+    few.append((500, [x * 1.01 + 0.001 for x in few[30][1]]))
+    for rows in (few, vectors_of(8)):
+        got = vector_graph.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+        root, degree = brute_links(rows)
+        assert sum(degree.values()) >= 2
+        assert {r["vec_id"]: r["component_id"] for r in got} == root
+        assert {r["vec_id"]: r["n_links"] for r in got} == {i: degree[i, tuple(v)] for i, v in rows}
+
+
 def test_range_search_walks_the_graph():
     rng = np.random.default_rng(0)
     rows = vector_graph.unit(rng.normal(size=(400, 8))).astype(np.float32)
