@@ -17,6 +17,8 @@ RULES = [
     ("com", "/de/", "block"),
 ]
 BLOCKED_LABELS = ["cheap-pills", "spam-farm"]
+# Trigrams: contexts of two words, too.
+LM_ORDER = 3
 
 
 def tokenizer_path(name: str) -> str:
@@ -58,7 +60,7 @@ def op7_minmax_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return backoff_lm.score(documents(spark, sf_dir))
+    return backoff_lm.score(documents(spark, sf_dir), LM_ORDER)
 
 
 def op9_url_digests(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ import pytest
 import texts
 from pyspark.sql import functions as F
 
-from kvetch.llm import backoff_lm, license_scan, quality_gam, syncmers
+from kvetch.llm import backoff_lm, license_scan, quality_gam, queries, syncmers
 
 LICENSES = [
     (7001, "Licensed under the Apache License, Version 2.0."), (7002, "MIT License mit-license MIT\nLICENSE"),
@@ -262,6 +262,13 @@ def test_backoff_scores_equal_plain_python(documents, rows, order):
     assert np.allclose([r[5:] for r in got], [r[5:] for r in want], atol=1e-8)
 
 
+def test_registered_model_knows_contexts_of_two_words(spark, rows, tmp_path):
+    texts.table(spark, rows).select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((r["score"] for r in queries.op8_backoff_lm(spark, str(tmp_path)).collect()))
+    assert np.allclose(got, sorted(r[6] for r in model_scores(rows, 3, backoff_lm.STRENGTH)), atol=1e-8)
+    assert not np.allclose(got, sorted(r[6] for r in model_scores(rows, 2, backoff_lm.STRENGTH)), atol=1e-3)
+
+
 def test_backoff_probabilities_of_a_state_sum_to_one(spark):
     """All continuations of a history, as the ends of texts that aren't learned from."""
     rows = [(i, "a b a c a b d") for i in range(40) if zlib.crc32(str(i).encode()) % 7 != 2]
