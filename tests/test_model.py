@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kvetch.operators import features, model, training
+from registry import queries as registered
 
 TEXTS = [
     (1, "a", "x y z x"), (2, "a", "x y"), (3, "b", "y w"), (4, "b", "w v w"), (5, "c", "u"), (6, "a", "x y"), (7, "c", "u z"),
@@ -142,3 +143,7 @@ def test_only_the_tables_in_use_stay(spark, texts, in_tasks, monkeypatch, tmp_pa
     left = sorted(path.name for path in (tmp_path / "train").iterdir())
     assert left == ([] if in_tasks else ["pass-3"])
     assert trained.terms.count() > 0
+
+
+def test_registered_training_takes_all_passes():
+    assert registered.PASSES == registered.PASSES_BY_JOIN == training.PASSES == 50
