@@ -263,3 +263,30 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         stars = written(step(stars), "stars")
         seen = mark(stars)
     raise RuntimeError(f"components did not settle in {rounds} rounds")
+
+
+def text_digest(text: Column) -> Column:
+    """SHA-256 of a text's UTF-8 bytes as 32 bytes; NULL counts as empty."""
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, how: str = "inner") -> DataFrame:
+    """Rows with the columns of their group; ``groups`` holds each ``key`` once, with its number of rows in ``size``.
+
+    Groups of more than a 2 * partitions-th of all rows are fewer than 2 * partitions, whatever the data: those are
+    broadcast, and their rows are dealt evenly past the shuffle that joins the others. ``groups`` is read three times.
+    """
+    parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    total = groups.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    limit = total // (2 * parts) + 1
+    values = [c for c in groups.columns if c != key]
+    hot = groups.where(F.col(size) > limit).select(F.col(key).alias("_key"), F.struct(*values).alias("_hot"))
+    cold = groups.where(F.col(size) <= limit).select(F.col(key).alias("_key"), F.struct(*values).alias("_cold"))
+    marked = rows.join(F.broadcast(hot), F.col(key) == F.col("_key"), "left").drop("_key")
+    # A key longer than any other joins with nothing and spreads a hot group's rows.
+    past = F.concat(F.col(key), F.lit(":").cast("binary"), F.monotonically_increasing_id().cast("string").cast("binary"))
+    marked = marked.withColumn("_at", F.when(F.col("_hot").isNull(), F.col(key)).otherwise(past))
+    joined = marked.join(cold, F.col("_at") == F.col("_key"), "left").withColumn("_of", F.coalesce("_hot", "_cold"))
+    if how == "inner":
+        joined = joined.where(F.col("_of").isNotNull())
+    return joined.select(*rows.columns, *[F.col(f"_of.{c}").alias(c) for c in values])
