@@ -5,8 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kvetch.llm import backoff_lm, license_scan, minmax_hash, packing, piece_lattice, quality_gam, suffix_dedup, syncmers, url_digests, vector_graph
+from kvetch.llm import (
+    backoff_lm, cuckoo_dedup, license_scan, merkle_manifest, minmax_hash, packing, piece_lattice, quality_gam, suffix_dedup, syncmers,
+    tokenizer_alignment, url_digests, vector_graph,
+)
 from kvetch.llm.common import read
 
 RULES = [
@@ -73,9 +77,27 @@ def op10_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_lattice.digest(piece_lattice.encode(documents(spark, sf_dir), model), model)
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenizer_alignment.measures(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op12_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cuckoo_dedup.keep_last(documents(spark, sf_dir))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half the documents are shown without their line ends."""
+    rows = read(spark, sf_dir, "documents", *merkle_manifest.FIELDS)
+    tampered = F.when((F.crc32(F.col("doc_id").cast("string")) % 2 == 0) & F.contains("text", F.lit("\n")), F.translate("text", "\n", ""))
+    return merkle_manifest.check(rows, tampered).drop("leaf_index")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_dedup, op2_license_scan, op3_syncmers, op4_vector_graph, op5_packing, op6_quality_gam, op7_minmax_hash, op8_backoff_lm, op9_url_digests, op10_piece_lattice)
-}
+    f.__name__: f for f in (
+        op1_suffix_dedup, op2_license_scan, op3_syncmers, op4_vector_graph, op5_packing, op6_quality_gam, op7_minmax_hash,
+        op8_backoff_lm, op9_url_digests, op10_piece_lattice, op11_tokenizer_alignment, op12_cuckoo_dedup, op13_merkle_manifest,
+    )
+}
 
 _RULE_ROWS = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in RULES)
 _LABEL_LIST = ", ".join(f"'{label}'" for label in sorted(BLOCKED_LABELS))
@@ -106,4 +128,10 @@ ORACLE_SQL: dict[str, str] = {
             coalesce(verdict, CASE WHEN label IS NULL THEN 'allow' ELSE 'block' END) AS verdict, label
         FROM labelled
     """,
+    "op12_cuckoo_dedup": """
+        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+            row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+            sha256(coalesce(text, '')) AS text_sha256
+        FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+    """,
 }
