@@ -40,7 +40,7 @@ _LEAST = np.iinfo(np.int64).min
 
 
 class CuckooFilter:
-    """16-bit fingerprints of 64-bit keys, with deletion; a key may be in it several times.
+    """16-bit fingerprints of 64-bit keys, with deletion; a key may be in it a few times, as far as two buckets hold it.
 
     A key's two buckets differ by a hash of its fingerprint, so either is found from the other.
     """
@@ -82,6 +82,8 @@ class CuckooFilter:
             if self._placed(self.keys):
                 return
             bits += 1
+            if SLOTS << bits > 1024 * len(self.keys):
+                raise ValueError("one key is inserted more often than its buckets have slots")
 
     def _placed(self, keys: np.ndarray) -> bool:
         prints, bucket = self._prints(keys)

@@ -7,7 +7,7 @@ the root.
 
 *Incremental witnesses.* :class:`Appender` takes leaves one by one. Open subtrees carry the partial witnesses of the leaves below
 them: when a run of three siblings is complete each of them extends the witnesses of the others, and what they become
-is appended one level higher. Leaves are dealt into aligned blocks of 3 ** LEVELS, each of which is a task's own Appender;
+is appended one level higher. Leaves are dealt into aligned blocks of 3 ** levels, each of which is a task's own Appender;
 the roots of the blocks are appended in the same way, in blocks again, until one is left. So a source of any size is spread over
 tasks, and the witnesses of the upper levels are made once per block of rows.
 
@@ -25,7 +25,7 @@ the result. Texts are hashed whole. An empty table has no rows. Other columns ar
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -35,9 +35,8 @@ from pyspark.sql import functions as F
 from kvetch.llm.common import written
 
 ARITY = 3
-# Levels of the tree in one block, and the leaves this makes.
+# Levels of the tree in one block, which makes 2,187 leaves.
 LEVELS = 7
-BLOCK = ARITY**LEVELS
 FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
 
 
@@ -149,15 +148,15 @@ def _placed(nodes: DataFrame, order: list[str], offsets: DataFrame | None = None
     return placed.withColumn("start", F.col("start") + F.col("before")).drop("part", "before")
 
 
-def _in_blocks(placed: DataFrame) -> DataFrame:
+def _in_blocks(placed: DataFrame, size: int) -> DataFrame:
     """A row for each block that a row's leaves lie in: ``block``, ``at`` the first of them, ``n`` how many."""
     end = F.col("start") + F.col("n")
-    cut = placed.withColumn("block", F.explode(F.expr(f"sequence(start div {BLOCK}, (start + n - 1) div {BLOCK})")))
-    first = F.greatest(F.col("start"), F.col("block") * BLOCK)
-    return cut.withColumn("at", first).withColumn("n", F.least(end, (F.col("block") + 1) * BLOCK) - first).drop("start")
+    cut = placed.withColumn("block", F.explode(F.expr(f"sequence(start div {size}, (start + n - 1) div {size})")))
+    first = F.greatest(F.col("start"), F.col("block") * size)
+    return cut.withColumn("at", first).withColumn("n", F.least(end, (F.col("block") + 1) * size) - first).drop("start")
 
 
-def _appended(table: pa.Table, total: int) -> tuple[pa.Table, Appender, bytes]:
+def _appended(table: pa.Table, total: int, levels: int) -> tuple[pa.Table, Appender, bytes]:
     """A block's rows in order, their leaves appended, and its root; its tree has ``total`` leaves."""
     table = table.sort_by([("at", "ascending")]).combine_chunks()
     appender = Appender()
@@ -165,54 +164,64 @@ def _appended(table: pa.Table, total: int) -> tuple[pa.Table, Appender, bytes]:
         text = leaf.hex().encode()
         for _ in range(n):
             appender.append(text)
-    root = appender.finish(None if total <= BLOCK else LEVELS)
+    root = appender.finish(None if total <= ARITY**levels else levels)
     return table, appender, root
 
 
 _ROOT = "tree string, at long, leaf binary, witness binary, root boolean"
 
 
-def _root(table: pa.Table) -> pa.Table:
+def _root(levels: int) -> Callable[[pa.Table], pa.Table]:
     """A block's root alone."""
-    table, _, root = _appended(table, table.column("total")[0].as_py())
-    return pa.table(
-        {"tree": [table.column("tree")[0].as_py()], "block": [table.column("block")[0].as_py()], "leaf": pa.array([bytes.fromhex(root.decode())], pa.binary())}
-    )
+
+    def root(table: pa.Table) -> pa.Table:
+        table, _, top = _appended(table, table.column("total")[0].as_py(), levels)
+        return pa.table({
+            "tree": [table.column("tree")[0].as_py()], "block": [table.column("block")[0].as_py()],
+            "leaf": pa.array([bytes.fromhex(top.decode())], pa.binary()),
+        })
+
+    return root
 
 
-def _witnessed(table: pa.Table) -> pa.Table:
+def _witnessed(levels: int) -> Callable[[pa.Table], pa.Table]:
     """The witnesses of a block's nodes within it, and its root."""
-    table, appender, root = _appended(table, table.column("total")[0].as_py())
-    tree, block, count = table.column("tree")[0].as_py(), table.column("block")[0].as_py(), len(appender.witnesses)
-    first = table.column("at")[0].as_py()
-    return pa.table({
-        "tree": pa.array([tree] * (count + 1), pa.string()), "at": pa.array([*range(first, first + count), block], pa.int64()),
-        "leaf": pa.array([None] * count + [bytes.fromhex(root.decode())], pa.binary()),
-        "witness": pa.array([*map(pack_witness, appender.witnesses), None], pa.binary()),
-        "root": pa.array([False] * count + [True]),
-    })
-
-
-def _climb(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+
+    def witnessed(table: pa.Table) -> pa.Table:
+        table, appender, top = _appended(table, table.column("total")[0].as_py(), levels)
+        tree, block, count = table.column("tree")[0].as_py(), table.column("block")[0].as_py(), len(appender.witnesses)
+        first = table.column("at")[0].as_py()
+        return pa.table({
+            "tree": pa.array([tree] * (count + 1), pa.string()), "at": pa.array([*range(first, first + count), block], pa.int64()),
+            "leaf": pa.array([None] * count + [bytes.fromhex(top.decode())], pa.binary()),
+            "witness": pa.array([*map(pack_witness, appender.witnesses), None], pa.binary()),
+            "root": pa.array([False] * count + [True]),
+        })
+
+    return witnessed
+
+
+def _climb(nodes: DataFrame, levels: int) -> tuple[DataFrame, DataFrame]:
     """From nodes (``tree``, ``at``, ``leaf``, ``total``) to the trees' roots and each node's witness.
 
-    A round makes a BLOCK-th as many nodes; its witnesses go on with those of the next round.
+    A round makes one node of each block; its witnesses go on with those of the next round.
     """
+    size = ARITY**levels
     most = nodes.agg(F.max("total")).first()[0] or 0
     rounds: list[DataFrame] = []
     while True:
-        blocks = nodes.withColumn("block", F.expr(f"at div {BLOCK}")).withColumn("n", F.lit(1).cast("long"))
-        made = written(blocks.groupBy("tree", "block").applyInArrow(_witnessed, _ROOT), "climb")
+        blocks = nodes.withColumn("block", F.expr(f"at div {size}")).withColumn("n", F.lit(1).cast("long"))
+        made = written(blocks.groupBy("tree", "block").applyInArrow(_witnessed(levels), _ROOT), "climb")
         rounds.append(made.where(~F.col("root")).select("tree", "at", "witness"))
-        totals = nodes.select("tree", F.expr(f"(total + {BLOCK - 1}) div {BLOCK}").alias("total")).distinct()
+        totals = nodes.select("tree", F.expr(f"(total + {size - 1}) div {size}").alias("total")).distinct()
         nodes = made.where("root").select("tree", "at", "leaf").join(totals, "tree")
-        if most <= BLOCK:
+        if most <= size:
             break
-        most = -(-most // BLOCK)
+        most = -(-most // size)
     witnesses = rounds.pop()
     while rounds:
         above = witnesses.select("tree", F.col("at").alias("block"), F.col("witness").alias("above"))
-        lower = rounds.pop().withColumn("block", F.expr(f"at div {BLOCK}"))
+        lower = rounds.pop().withColumn("block", F.expr(f"at div {size}"))
         witnesses = lower.join(above, ["tree", "block"]).select("tree", "at", F.concat("witness", "above").alias("witness"))
     return nodes.select("tree", "leaf"), witnesses
 
@@ -222,15 +231,16 @@ _SEEN = (
 )
 
 
-def _proved(table: pa.Table, above: pa.Table) -> pa.Table:
+def _proved(levels: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     """The rows of a block: their witnesses, and what the leaves that were shown lead to."""
-    out: list[list] = [[] for _ in range(8)]
-    if table.num_rows and above.num_rows:
-        table, appender, _ = _appended(table, above.column("held")[0].as_py())
+
+    def proved(table: pa.Table, above: pa.Table) -> pa.Table:
+        table, appender, _ = _appended(table, above.column("held")[0].as_py(), levels)
         higher = unpack_witness(above.column("above")[0].as_py())
         subroot, root = (above.column(c)[0].as_py().hex() for c in ("subroot", "root"))
         columns = [table.column(c).to_pylist() for c in ("doc_id", "leaf", "shown", "at", "n")]
         witnesses = iter(appender.witnesses)
+        out: list[list] = [[] for _ in range(8)]
         for doc_id, leaf, shown, at, n in zip(*columns, strict=True):
             for nth in range(n):
                 witness = next(witnesses) + higher
@@ -238,32 +248,33 @@ def _proved(table: pa.Table, above: pa.Table) -> pa.Table:
                 proof = hashlib.sha256(b"".join(left + right for left, right in witness)).hexdigest()
                 for column, value in zip(out, (doc_id, leaf.hex(), at + nth, subroot, root, proof, folded, folded == root), strict=True):
                     column.append(value)
-    types = [pa.int64(), pa.string(), pa.int64(), *[pa.string()] * 4, pa.bool_()]
-    names = [field.split()[0] for field in _SEEN.split(", ")]
-    return pa.table([pa.array(column, kind) for column, kind in zip(out, types, strict=True)], names=names)
+        types = [pa.int64(), pa.string(), pa.int64(), *[pa.string()] * 4, pa.bool_()]
+        names = [field.split()[0] for field in _SEEN.split(", ")]
+        return pa.table([pa.array(column, kind) for column, kind in zip(out, types, strict=True)], names=names)
+
+    return proved
 
 
 @dataclass(frozen=True)
 class Manifest:
     """``leaves``: rows in blocks (``tree`` for the source, ``block``, ``at``, ``n``, ``doc_id``, ``leaf``, ``shown``);
-    ``blocks``: the root of each block (``tree``, ``block``, ``leaf``); ``totals``: leaves of each tree and its largest id."""
+    ``blocks``: the root of each block (``tree``, ``block``, ``leaf``); ``totals``: leaves of each tree and its largest id.
+    A block is ``levels`` levels high."""
 
     leaves: DataFrame
     blocks: DataFrame
     totals: DataFrame
+    levels: int = LEVELS
 
     @classmethod
-    def empty(cls, spark: SparkSession) -> Manifest:
+    def empty(cls, spark: SparkSession, levels: int = LEVELS) -> Manifest:
         return cls(
             spark.createDataFrame([], "tree string, doc_id long, leaf binary, shown binary, block long, at long, n long"),
             spark.createDataFrame([], "tree string, block long, leaf binary"),
             spark.createDataFrame([], "tree string, held long, last long"),
+            levels,
         )
 
-    @classmethod
-    def of(cls, documents: DataFrame, shown: Column | None = None) -> Manifest:
-        return cls.empty(documents.sparkSession).append(documents, shown)
-
     def append(self, documents: DataFrame, shown: Column | None = None) -> Manifest:
         """The manifest with more rows; in each source they have to come behind those it has.
 
@@ -276,7 +287,7 @@ class Manifest:
         first = self.totals.join(rows.groupBy("tree").agg(F.min("doc_id").alias("first"), F.count("doc_id").alias("known"), F.count("*").alias("all")), "tree")
         if not first.where("last is not null and (first <= last or known < all)").isEmpty():
             raise ValueError("rows have to be appended in the order of their ids")
-        placed = _in_blocks(_placed(rows, ["doc_id", "leaf", "shown"], self.totals))
+        placed = _in_blocks(_placed(rows, ["doc_id", "leaf", "shown"], self.totals), ARITY**self.levels)
         placed = written(placed, "blocks")
         added = placed.groupBy("tree").agg(F.sum("n").alias("held"), F.max("doc_id").alias("last"))
         totals = written(self.totals.unionByName(added).groupBy("tree").agg(F.sum("held").alias("held"), F.max("last").alias("last")), "totals")
@@ -284,19 +295,19 @@ class Manifest:
         # Full blocks keep their roots; a block that grew is appended anew.
         touched = placed.select("tree", "block", "total").distinct()
         grown = leaves.join(touched, ["tree", "block"])
-        roots = grown.groupBy("tree", "block").applyInArrow(_root, "tree string, block long, leaf binary")
+        roots = grown.groupBy("tree", "block").applyInArrow(_root(self.levels), "tree string, block long, leaf binary")
         blocks = self.blocks.join(touched, ["tree", "block"], "left_anti").unionByName(roots)
-        return Manifest(leaves, written(blocks, "roots"), totals)
+        return Manifest(leaves, written(blocks, "roots"), totals, self.levels)
 
     def _above(self) -> DataFrame:
         """For each block the witness of its root, the source's root and the dataset's."""
-        total = F.expr(f"(held + {BLOCK - 1}) div {BLOCK}").alias("total")
+        total = F.expr(f"(held + {ARITY**self.levels - 1}) div {ARITY**self.levels}").alias("total")
         nodes = self.blocks.join(self.totals.select("tree", total), "tree").select("tree", F.col("block").alias("at"), "leaf", "total")
-        subroots, within = _climb(nodes)
+        subroots, within = _climb(nodes, self.levels)
         subroots = written(subroots, "subroots")
         one = subroots.select(F.lit("").alias("tree"), F.col("tree").alias("name"), "leaf", F.lit(1).cast("long").alias("n"))
         sources = written(_placed(one, ["name"]).withColumnRenamed("start", "at"), "sources")
-        roots, over = _climb(sources.select("tree", "at", "leaf", "total"))
+        roots, over = _climb(sources.select("tree", "at", "leaf", "total"), self.levels)
         named = sources.select(F.col("name").alias("tree"), "at", F.col("leaf").alias("subroot")).join(over.select("at", F.col("witness").alias("upper")), "at")
         # The dataset has one root.
         root = roots.select("leaf").first()
@@ -308,9 +319,9 @@ class Manifest:
     def proofs(self) -> DataFrame:
         """One row per document: its leaf and place, the roots, a digest of its witness, and the check of what was shown."""
         blocks = self.leaves.groupBy("tree", "block").cogroup(self._above().groupBy("tree", "block"))
-        return blocks.applyInArrow(_proved, _SEEN)
+        return blocks.applyInArrow(_proved(self.levels), _SEEN)
 
 
 def check(documents: DataFrame, shown: Column | None = None) -> DataFrame:
     """The proofs of a table's rows; ``shown`` is the text of a row that somebody holds, NULL if it is the row's own."""
-    return Manifest.of(documents, shown).proofs()
+    return Manifest.empty(documents.sparkSession).append(documents, shown).proofs()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -102,7 +103,64 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _RULE_ROWS = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in RULES)
 _LABEL_LIST = ", ".join(f"'{label}'" for label in sorted(BLOCKED_LABELS))
 
+# The table of CRC-32, from the value of single bytes without its start and end.
+_CRC_TABLE = [zlib.crc32(bytes([byte ^ 255])) ^ 0xFF000000 for byte in range(256)]
+
+
+def _leaf_sql(text: str) -> str:
+    fields = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({x})::VARCHAR || ':' || {x}, '-')" for x in fields) + ")"
+
+
+def _tree_sql(name: str, start: str) -> str:
+    """Levels of trees of three children; ``n`` nodes in a level."""
+    return f"""{name}(tree, lvl, idx, digest, n) AS ({start}
+            UNION ALL
+            SELECT tree, lvl + 1, idx // 3, sha256(string_agg(digest, '' ORDER BY idx)), (any_value(n) + 2) // 3
+            FROM {name} WHERE n > 1 GROUP BY tree, lvl, idx // 3)"""
+
+
+def _steps_sql(name: str) -> str:
+    """Siblings before and behind each node."""
+    run = "PARTITION BY tree, lvl, idx // 3 ORDER BY idx ROWS BETWEEN"
+    return f"""SELECT tree, lvl, idx, coalesce(string_agg(digest, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+                coalesce(string_agg(digest, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+            FROM {name} WHERE n > 1"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op13_merkle_manifest": f"""
+        WITH RECURSIVE hashed AS (
+            SELECT row_number() OVER () AS id, doc_id, coalesce('=' || source, '-') AS tree, {_leaf_sql("text")} AS leaf,
+                {_leaf_sql("replace(text, chr(10), '')")} AS other,
+                xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                    lambda crc, x: xor(crc >> 8, {_CRC_TABLE}[(xor(crc, x) & 255) + 1])), 4294967295) AS crc
+            FROM documents
+        ), leaves AS (
+            SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY tree) AS n
+            FROM hashed
+        ), {_tree_sql("nodes", "SELECT tree, 0, idx, leaf, n FROM leaves")},
+        subroots AS (
+            SELECT tree, digest, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS n FROM nodes WHERE n = 1
+        ), {_tree_sql("tops", "SELECT '', 0, place, digest, n FROM subroots")},
+        steps AS MATERIALIZED ({_steps_sql("nodes")}), upper AS MATERIALIZED ({_steps_sql("tops")}),
+        path AS MATERIALIZED (
+            SELECT v.id, s.lvl AS step, s.l, s.r FROM leaves v JOIN steps s ON s.tree = v.tree AND s.idx = v.idx // (3 ** s.lvl)::BIGINT
+            UNION ALL
+            SELECT v.id, 1000 + u.lvl, u.l, u.r FROM leaves v JOIN subroots b ON b.tree = v.tree
+                JOIN upper u ON u.idx = b.place // (3 ** u.lvl)::BIGINT
+        ), ordered AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY id ORDER BY step) AS nth FROM path),
+        fold(id, nth, digest) AS (
+            SELECT id, 0, CASE WHEN crc % 2 = 0 THEN other ELSE leaf END FROM leaves
+            UNION ALL
+            SELECT f.id, f.nth + 1, sha256(o.l || f.digest || o.r) FROM fold f JOIN ordered o ON o.id = f.id AND o.nth = f.nth + 1
+        ), folded AS (SELECT id, arg_max(digest, nth) AS folded_root FROM fold GROUP BY id),
+        proofs AS (SELECT id, sha256(string_agg(l || r, '' ORDER BY step)) AS proof FROM path GROUP BY id),
+        top AS (SELECT digest AS root FROM tops WHERE n = 1)
+        SELECT v.doc_id, v.leaf, b.digest AS subroot, top.root, coalesce(p.proof, sha256('')) AS proof_sha256, f.folded_root,
+            f.folded_root = top.root AS verified
+        FROM leaves v JOIN subroots b USING (tree) JOIN folded f USING (id) LEFT JOIN proofs p USING (id), top
+    """,
     "op9_url_digests": rf"""
         WITH parts AS (
             SELECT page_id, url, coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '') AS raw_host,
