@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,13 +33,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kvetch.llm.common import (
-    blocks_of, from_planes, join_groups, packed_keys, planes, ranges, released, slices, text_bytes, text_digest, unpacked_keys, written,
+    blocks_of, from_planes, join_groups, packed_keys, planes, ranges, release, released, slices, text_bytes, text_digest, unpacked_keys, written,
 )
 
 # Distinct chunks whose ids a worker keeps.
-CACHE_CHUNKS = 400_000
-# Links laid out at a time.
-STEP = 2_000_000
+CACHE_CHUNKS = 200_000
+# Text bytes aligned at a time, unless a single text is longer, and links laid out at a time.
+PART_BYTES = 512 << 10
+STEP = 1_000_000
 SPACE_MARK = "▁"
 
 
@@ -50,7 +52,7 @@ def byte_symbols() -> dict[str, int]:
 
 
 class _Vocabulary:
-    """Ids of chunks, each beginning with the space before it, and the bytes of ids. Subclasses load and encode."""
+    """Ids of chunks, each beginning with a space, and the bytes of ids. Subclasses load and encode."""
 
     def __init__(self, tokens: list[bytes]) -> None:
         self.blob = np.frombuffer(b"".join(tokens), np.uint8)
@@ -64,28 +66,23 @@ class _Vocabulary:
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[str, int] = {}
         self.ids, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     def _encoded(self, chunks: list[str]) -> list[list[int]]:
         raise NotImplementedError
 
-    def encode(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all chunks in a row, and how many each has."""
-        if len(self.known) > CACHE_CHUNKS:
-            self.clear()
-        coded = chunks.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        new = [chunk for chunk in distinct if chunk not in self.known]
-        if new:
-            found = [ids for at in range(0, len(new), 10_000) for ids in self._encoded(new[at : at + 10_000])]
+    def add(self, chunks: list[str]) -> None:
+        """Tokenise new chunks; each is the next entry."""
+        for at in range(0, len(chunks), 5_000):
+            found = self._encoded(chunks[at : at + 5_000])
             counts = np.fromiter(map(len, found), np.int64, len(found))
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
-            self.ids = np.concatenate([self.ids, np.fromiter((i for ids in found for i in ids), np.int32, int(counts.sum()))])
+            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.int32, int(counts.sum()))])
             self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(counts)])
-        entry = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy(zero_copy_only=False)]
-        counts = self.ends[entry + 1] - self.ends[entry]
-        return self.ids[ranges(self.ends[entry], counts)], counts
+
+    def tokens(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the entries in a row, and how many each has."""
+        counts = self.ends[entries + 1] - self.ends[entries]
+        return self.ids[ranges(self.ends[entries], counts)], counts
 
 
 class ByteVocabulary(_Vocabulary):
@@ -140,13 +137,39 @@ class PieceVocabulary(_Vocabulary):
         return self.processor.encode([chunk[1:] for chunk in chunks], num_threads=1)
 
 
-_loaded: dict[tuple[str, str], tuple[ByteVocabulary, PieceVocabulary]] = {}
+class Tokenizers:
+    """Both tokenizers and the chunks they have seen."""
+
+    def __init__(self, path_a: str, path_b: str) -> None:
+        self.a, self.b = ByteVocabulary(path_a), PieceVocabulary(path_b)
+        self.known: dict[str, int] = {}
+
+    def entries(self, chunks: pa.Array) -> np.ndarray:
+        """The entry of each chunk in both vocabularies; only new chunks are tokenised."""
+        if len(self.known) > CACHE_CHUNKS:
+            self.known = {}
+            self.a.clear()
+            self.b.clear()
+        coded = chunks.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        found = [self.known.get(chunk, -1) for chunk in distinct]
+        new = [chunk for chunk, entry in zip(distinct, found, strict=True) if entry < 0]
+        entries = np.array(found, np.int64)
+        entries[entries < 0] = np.arange(len(self.known), len(self.known) + len(new))
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+        self.a.add(new)
+        self.b.add(new)
+        return entries[coded.indices.to_numpy(zero_copy_only=False)]
+
+
+_loaded: dict[tuple[str, str], Tokenizers] = {}
 
 
-def vocabularies(path_a: str, path_b: str) -> tuple[ByteVocabulary, PieceVocabulary]:
+def tokenizers_of(path_a: str, path_b: str) -> Tokenizers:
     """Both tokenizers, loaded once per worker."""
     if (path_a, path_b) not in _loaded:
-        _loaded[path_a, path_b] = ByteVocabulary(path_a), PieceVocabulary(path_b)
+        _loaded[path_a, path_b] = Tokenizers(path_a, path_b)
+        release()
     return _loaded[path_a, path_b]
 
 
@@ -179,15 +202,17 @@ class Aligned:
 
     def __init__(self, texts: pa.Array, path_a: str, path_b: str) -> None:
         self.texts = texts
-        self.a, self.b = vocabularies(path_a, path_b)
+        both = tokenizers_of(path_a, path_b)
+        self.a, self.b = both.a, both.b
         data, starts = _texts(texts)
         cuts = chunks_of(data, starts)
         offsets = pa.array(np.append(cuts, len(data)), pa.int64())
         chunks = pa.LargeStringArray.from_buffers(len(cuts), offsets.buffers()[1], pa.py_buffer(data))
         owner = np.searchsorted(starts, cuts, "right") - 1
+        entries = both.entries(chunks)
         tokens, agree = [], np.ones(len(texts), bool)
         for side in (self.a, self.b):
-            ids, counts = side.encode(chunks)
+            ids, counts = side.tokens(entries)
             of_text = np.repeat(owner, counts)
             sizes = side.sizes[ids]
             held = np.bincount(of_text, sizes, len(texts)).astype(np.int64)
@@ -298,7 +323,7 @@ def aligned_texts(documents: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in released(batches):
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", PART_BYTES):
                 found = Aligned(part.column("text"), path_a, path_b)
                 text, pair, links = found.pairs()
                 edges = np.searchsorted(text, np.arange(part.num_rows + 1)).tolist()
@@ -363,7 +388,7 @@ def _measured(texts: pa.Table, counts: pa.Table) -> pa.Table:
 def measures(documents: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """One row per document (``doc_id``, ``text``): numbers of tokens, groups and links, and what the counts make of them."""
     texts = aligned_texts(documents, path_a, path_b)
-    own, counts = pair_counts(texts, len(vocabularies(path_a, path_b)[1].sizes))
+    own, counts = pair_counts(texts, len(tokenizers_of(path_a, path_b).b.sizes))
     answers = own.join(counts, "pair")
     measured = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_measured, _MEASURED)
     measured = written(measured, "measured")

@@ -90,14 +90,15 @@ def test_chunks_are_cut_as_whole_texts(spark):
     rng = random.Random(3)
     odd = list("ab,.'1 \t\n 　éß日😀́▁​!\x1f\x7f") + ["  ", " the", "'s ", "<s>", "▁▁", "A "]
     cases = ["".join(rng.choices(odd, k=rng.randint(1, 30))) for _ in range(3000)]
-    a, b = tokenizer_alignment.vocabularies(BYTES, PIECES)
+    both = tokenizer_alignment.tokenizers_of(BYTES, PIECES)
+    a, b = both.a, both.b
     data, starts = tokenizer_alignment._texts(pa.array(cases))
     cuts = tokenizer_alignment.chunks_of(data, starts)
     raw = data.tobytes()
     chunks = [raw[lo:hi].decode() for lo, hi in zip(cuts.tolist(), [*cuts.tolist()[1:], len(raw)], strict=True)]
     owner = np.searchsorted(starts, cuts, "right") - 1
     for side, whole in ((a, [x.ids for x in a.tokenizer.encode_batch([" " + t for t in cases], add_special_tokens=False)]), (b, b.processor.encode(cases))):
-        ids, counts = side.encode(pa.array(chunks, pa.large_string()))
+        ids, counts = side.tokens(both.entries(pa.array(chunks, pa.large_string())))
         of_text = np.repeat(owner, counts)
         assert [ids[of_text == k].tolist() for k in range(len(cases))] == whole
 
