@@ -47,6 +47,8 @@ LEXICON = [
     ("thing", "v"), ("rest", "a"), ("are", "n"),
 ]
 SEGMENT_WORDS = ["thing", "thingtion", "tion", "the", "then", "in", "inter", "eaux", "eau", "und", "el", "en"]
+# Words of the documents that have this many letters make a large lexicon.
+LEXICON_LETTERS = 3
 VARIANTS = {"é": "e", "è": "e", "ê": "e", "ç": "c", "ñ": "n", "ó": "o", "í": "i", "ü": "u", "ö": "o", "ä": "a"}
 STOP_WORDS = ["the", "of", "and", "de", "la", "und"]
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from kvetch.functions.text import FEATURE_STOP_WORDS, FULL_WIDTH, HALF_WIDTH, TRAINING_STOP_WORDS
 from kvetch.operators.keywords import NO_CLASS
+from kvetch.operators.segment import USER_FREQUENCY
 from registry import inputs
 from registry.queries import PASSES, PASSES_BY_JOIN
 
@@ -289,6 +290,69 @@ _GATED = f"""WITH {_PLAIN_TRAINING},
          CASE WHEN known > 0 THEN round(p1, 4) ELSE 0 END AS cvalue
   FROM top"""
 
+
+def _large_lexicon(rounds: int = 18) -> str:
+    """Longest words from left to right: the hits that are reached from each text's first one by jumps of doubled length."""
+    k = inputs.LEXICON_LETTERS
+    jumps = ", ".join(
+        f"""reached{i + 1} AS MATERIALIZED (SELECT node FROM reached{i} UNION SELECT j.target FROM reached{i} JOIN jump{i} j USING (node)),
+        jump{i + 1} AS MATERIALIZED (SELECT a.node, b.target FROM jump{i} a JOIN jump{i} b ON b.node = a.target)"""
+        for i in range(rounds)
+    )
+    return f"""WITH {_TOKENS},
+    solid AS (SELECT doc_id, regexp_replace(lower(CASE WHEN doc_id % 13 <> 4 THEN text END), '[^\\p{{L}}]', '', 'g') AS s FROM documents),
+    vocab AS (SELECT DISTINCT word FROM (SELECT unnest(tokens) AS word FROM tokens) WHERE length(word) >= {k}),
+    heads AS (SELECT left(word, {k}) AS head, length(word) AS n FROM vocab GROUP BY ALL),
+    reach AS (SELECT max(length(word)) AS most FROM vocab),
+    blocks AS (SELECT doc_id, start, substr(s, start + 1, 64 + most) AS part
+               FROM (SELECT doc_id, s, unnest(range(0, length(s), 64)) AS start FROM solid), reach),
+    places AS (SELECT doc_id, start + j - 1 AS pos, substr(part, j, most) AS part
+               FROM (SELECT *, unnest(range(1, least(64, length(part)) + 1)) AS j FROM blocks), reach),
+    longest AS (SELECT doc_id, pos, max(n) AS n FROM places JOIN heads ON left(part, {k}) = head AND length(part) >= n
+                WHERE left(part, n) IN (SELECT word FROM vocab) GROUP BY doc_id, pos),
+    hits AS MATERIALIZED (SELECT *, row_number() OVER () AS node FROM longest),
+    jump0 AS MATERIALIZED (SELECT a.node, b.node AS target FROM hits a ASOF JOIN hits b ON b.doc_id = a.doc_id AND a.pos + a.n <= b.pos),
+    reached0 AS MATERIALIZED (SELECT arg_min(node, pos) AS node FROM hits GROUP BY doc_id), {jumps},
+    taken AS (SELECT doc_id, pos, n FROM hits JOIN reached{rounds} USING (node)),
+    chars AS (SELECT doc_id, unnest(string_split(s, '')) AS c, unnest(range(0, length(s))) AS pos FROM solid WHERE s <> ''),
+    marked AS (SELECT c.doc_id, c.pos, c.c, t.pos IS NULL OR c.pos = t.pos OR c.pos >= t.pos + t.n AS starts
+               FROM chars c ASOF LEFT JOIN taken t ON t.doc_id = c.doc_id AND c.pos >= t.pos),
+    cut AS (SELECT doc_id, substr(string_agg(CASE WHEN starts THEN ' ' ELSE '' END || c, '' ORDER BY pos), 2) AS words FROM marked GROUP BY doc_id)
+    SELECT doc_id, coalesce(words, '') AS words FROM documents LEFT JOIN cut USING (doc_id)"""
+
+
+_BEST_PATH = rf"""
+WITH RECURSIVE {_TOKENS},
+users(word) AS (VALUES {_rows([(word,) for word in inputs.SEGMENT_WORDS])}),
+frequencies AS (
+  SELECT word, count(*) AS f FROM (SELECT unnest(tokens) AS word FROM tokens) WHERE word NOT IN (SELECT word FROM users) GROUP BY word
+  UNION ALL SELECT word, {USER_FREQUENCY} FROM users),
+total AS (SELECT sum(f)::DOUBLE AS total, max(length(word)) AS most, round(ln(sum(f)::DOUBLE / 1) * 1000000)::BIGINT AS other FROM frequencies),
+costs AS (SELECT word, round(ln(total / f) * 1000000)::BIGINT AS cost FROM frequencies, total),
+solid AS (SELECT conv_id, turn, regexp_replace(lower(text), '[^\p{{L}}]', '', 'g') AS s FROM conversations),
+ends AS (SELECT conv_id, turn, s, unnest(range(1, length(s) + 1)) AS e FROM solid),
+ways AS (
+  SELECT conv_id, turn, e, b, coalesce(cost, other) AS cost
+  FROM (SELECT conv_id, turn, e, b, substr(s, b + 1, e - b) AS word, other
+        FROM (SELECT *, unnest(range(greatest(0, e - most), e)) AS b FROM ends, total)) LEFT JOIN costs USING (word)
+  WHERE cost IS NOT NULL OR e - b = 1),
+states AS (
+  SELECT conv_id, turn, {{costs: [0::BIGINT], backs: []::BIGINT[], ways: []::STRUCT(b BIGINT, cost BIGINT)[]}} AS state, 0 AS e FROM solid
+  UNION ALL
+  SELECT conv_id, turn, {{costs: []::BIGINT[], backs: []::BIGINT[], ways: list({{b: b, cost: cost}})}}, e FROM ways GROUP BY conv_id, turn, e),
+solved AS (
+  SELECT conv_id, turn, list_reduce(list(state ORDER BY e), lambda done, next: {{
+      costs: list_append(done.costs, list_min(list_transform(next.ways, lambda w: {{cost: done.costs[w.b + 1] + w.cost, b: w.b}})).cost),
+      backs: list_append(done.backs, list_min(list_transform(next.ways, lambda w: {{cost: done.costs[w.b + 1] + w.cost, b: w.b}})).b),
+      ways: []::STRUCT(b BIGINT, cost BIGINT)[]}}).backs AS backs
+  FROM states GROUP BY conv_id, turn),
+walk AS (
+  SELECT conv_id, turn, backs, len(backs)::BIGINT AS e, NULL::BIGINT AS until FROM solved
+  UNION ALL SELECT conv_id, turn, backs, backs[e], e FROM walk WHERE e > 0)
+SELECT s.conv_id, s.turn, coalesce(string_agg(substr(s.s, w.e + 1, w.until - w.e), ' ' ORDER BY w.e) FILTER (w.until IS NOT NULL), '') AS words
+FROM solid s JOIN walk w ON w.conv_id = s.conv_id AND w.turn = s.turn GROUP BY s.conv_id, s.turn
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "scan_comments_by_day": f"""WITH {_COMMENTS.format(day=inputs.DAY, nature="CASE lang WHEN 'en' THEN -1 WHEN 'fr' THEN 0 WHEN 'es' THEN 1 END")}
         SELECT * EXCLUDE (dt) FROM comments WHERE nature < 1 AND dt = {inputs.DAY} AND content IS NOT NULL""",
@@ -336,6 +400,8 @@ ORACLE_SQL: dict[str, str] = {
         FROM (SELECT word FROM base UNION SELECT word FROM users)""",
     "segment_longest_match": _SEGMENTED,
     "segment_longest_match_by_join": _SEGMENTED,
+    "segment_large_lexicon": _large_lexicon(),
+    "segment_best_path": _BEST_PATH,
     "keyword_rules": f"""WITH {_RULES} SELECT doc_id, pos, class, array_to_string(subjects, '|') AS subjects,
         array_to_string(descriptors, '|') AS descriptors FROM rules""",
     "keyword_dictionary": f"WITH {_RULES} SELECT * FROM dictionary",

@@ -213,6 +213,24 @@ def segment_longest_match_by_join(spark: SparkSession, sf_dir: str) -> DataFrame
     return _segmented(spark, sf_dir, False)
 
 
+def segment_large_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By all words of the documents that have at least three letters."""
+    solid = inputs.documents(spark, sf_dir, "doc_id", "text").select("doc_id", inputs.solid_text().alias("solid"))
+    words = features.vocabulary(_tokens(spark, sf_dir)).where(F.length("word") >= inputs.LEXICON_LETTERS)
+    return segment.segment(solid, "solid", words).select("doc_id", _joined("tokens").alias("words"))
+
+
+def segment_best_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All turns, by how often each word occurs in the documents and with words of a user's."""
+    turns = inputs.spread(inputs.read(spark, sf_dir, "conversations").select("conv_id", "turn", "text"))
+    solid = turns.select("conv_id", "turn", F.regexp_replace(F.lower("text"), r"[^\p{L}]", "").alias("solid"))
+    found = explode_rows(_tokens(spark, sf_dir), "tokens", "word", "doc_id")
+    counted = found.groupBy("word").agg(F.count("*").alias("frequency"))
+    users = spark.createDataFrame([(word,) for word in inputs.SEGMENT_WORDS], "word string")
+    cut = segment.segment_by_frequency(solid, "solid", segment.with_user_frequencies(counted, users))
+    return cut.select("conv_id", "turn", _joined("tokens").alias("words"))
+
+
 # Keywords
 
 def keyword_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -477,6 +495,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lexicon_with_user_words": lexicon_with_user_words,
     "segment_longest_match": segment_longest_match,
     "segment_longest_match_by_join": segment_longest_match_by_join,
+    "segment_large_lexicon": segment_large_lexicon,
+    "segment_best_path": segment_best_path,
     "keyword_rules": keyword_rules,
     "keyword_dictionary": keyword_dictionary,
     "ambiguous_keywords": ambiguous_keywords,
