@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from kvetch.operators.automaton import Automaton, rewrite_longest, steps
+
 # U+3000 and U+FF01..U+FF5E, and what they fold to.
+# Fixed values.
 FULL_WIDTH = "\u3000" + "".join(chr(code) for code in range(0xFF01, 0xFF5F))
 HALF_WIDTH = " " + "".join(chr(code - 65248) for code in range(0xFF01, 0xFF5F))
 
@@ -24,12 +28,25 @@ def fold_width(text: Column) -> Column:
 
 
 def fold_variants(text: Column, variants: Mapping[str, str]) -> Column:
-    """Replace single characters by a caller-supplied table (traditional to simplified)."""
-    if any(len(old) != 1 or len(new) != 1 for old, new in variants.items()):
-        raise ValueError("variants map one character to one character")
+    """Replace characters and phrases by a caller-supplied table (traditional to simplified).
+
+    At each place, from left to right, the longest phrase of the table is replaced by what it stands for, which may have
+    any length and is not looked at again. A table of single characters is an expression, one with phrases is
+    walked on Arrow batches.
+    """
+    if "" in variants:
+        raise ValueError("variants of nothing")
     if not variants:
         return text
-    return F.translate(text, "".join(variants), "".join(variants.values()))
+    if all(len(old) == 1 and len(new) == 1 for old, new in variants.items()):
+        return F.translate(text, "".join(variants), "".join(variants.values()))
+    automaton, outputs = Automaton.of(variants), pa.array(variants.values(), pa.string())
+
+    @F.arrow_udf("string")
+    def folded(texts: pa.Array) -> pa.Array:
+        return pa.concat_arrays([rewrite_longest(automaton, part, outputs) for part in steps(texts)])
+
+    return folded(text)
 
 
 def normalize(text: Column, variants: Mapping[str, str] | None = None) -> Column:

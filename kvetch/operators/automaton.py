@@ -67,7 +67,7 @@ class Automaton:
         parent, letter, end = _trie(words)
         # Frequent characters have small codes, so that children lie close together.
         alphabet, count = np.unique(letter[1:], return_counts=True)
-        codes = np.zeros(0x110000, np.int32)
+        codes = np.zeros(int(letter.max(initial=0)) + 2, np.int32)  # the last stands for all higher ones
         codes[alphabet[np.argsort(-count, kind="stable")]] = np.arange(1, len(alphabet) + 1)
         code = codes[letter].astype(np.int64)
         place, base, top = cls._placed(parent, code, len(alphabet))
@@ -130,7 +130,7 @@ class Automaton:
     def hits(self, chars: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
         """Words in code points of texts, ``ends`` being where the text of each place ends: for each size the places where
         words of that size start, in order, and which words those are."""
-        codes = self.codes[chars]
+        codes = self.codes[np.minimum(chars, len(self.codes) - 1)]
         at = np.flatnonzero(codes)
         state = np.zeros(len(at), np.int64)
         for size in range(1, self.longest + 1):

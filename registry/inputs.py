@@ -50,6 +50,8 @@ SEGMENT_WORDS = ["thing", "thingtion", "tion", "the", "then", "in", "inter", "ea
 # Words of the documents that have this many letters make a large lexicon.
 LEXICON_LETTERS = 3
 VARIANTS = {"é": "e", "è": "e", "ê": "e", "ç": "c", "ñ": "n", "ó": "o", "í": "i", "ü": "u", "ö": "o", "ä": "a"}
+# Phrases overlap each other and hold letters of VARIANTS.
+PHRASES = {**VARIANTS, "tion of": "t'n of", "of the": "o' th'", "the": "ye", "e du": "e del ", "é d": "", "und die": "&"}
 STOP_WORDS = ["the", "of", "and", "de", "la", "und"]
 
 

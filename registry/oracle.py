@@ -384,6 +384,10 @@ ORACLE_SQL: dict[str, str] = {
         '  "say \\"hi\\" ' || translate(text, chr(10) || chr(9), '  ') || ' now"  ' AS line FROM documents""",
     "fold_width": f"SELECT doc_id, length({_widen('text')}) AS chars, {_narrow(_widen('text'))} AS folded FROM documents",
     "fold_variants": f"SELECT doc_id, translate(text, {_FOLD_LETTERS}) AS folded FROM documents",
+    "fold_phrases": f"""SELECT doc_id, CASE WHEN text IS NOT NULL THEN coalesce(array_to_string(list_transform(
+        regexp_extract_all(text, {_text("(?s)" + "|".join(sorted(inputs.PHRASES, key=len, reverse=True)) + "|.")}),
+        lambda part: coalesce(MAP {{{", ".join(f"{_text(old)}: {_text(new)}" for old, new in inputs.PHRASES.items())}}}[part], part)), ''), '') END AS folded
+        FROM (SELECT doc_id, CASE WHEN doc_id % 13 <> 4 THEN text END AS text FROM documents)""",
     "tokenize": f"WITH {_TOKENS} SELECT doc_id, len(tokens) AS n, array_to_string(tokens, ' ') AS words FROM tokens",
     "normalized_tokens": f"""SELECT doc_id, array_to_string({_tokens(f"lower(translate({_narrow(_widen('text'))}, {_FOLD_LETTERS}))")}, ' ') AS words
         FROM documents""",

@@ -168,6 +168,12 @@ def fold_variant_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.select("doc_id", fold_variants(F.col("text"), inputs.VARIANTS).alias("folded"))
 
 
+def fold_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases ahead of the letters in them."""
+    texts = inputs.documents(spark, sf_dir, "doc_id", "text")
+    return texts.select("doc_id", fold_variants(inputs.some_text(), inputs.PHRASES).alias("folded"))
+
+
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = inputs.documents(spark, sf_dir, "doc_id", "text")
     found = texts.select("doc_id", tokenize(F.lower("text"), normalized=False).alias("tokens"))
@@ -488,6 +494,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lines_out_roundtrip": lines_out_roundtrip,
     "fold_width": fold_width_forms,
     "fold_variants": fold_variant_letters,
+    "fold_phrases": fold_phrases,
     "tokenize": tokens,
     "normalized_tokens": normalized_tokens,
     "stop_word_filter": stop_word_filter,

@@ -24,7 +24,16 @@ def test_width(spark):
 def test_variants(spark):
     assert column(spark, ["手機壞了"], lambda c: fold_variants(c, {"機": "机", "壞": "坏"})) == ["手机坏了"]
     with pytest.raises(ValueError):
-        fold_variants(F.col("v"), {"ab": "c"})
+        fold_variants(F.col("v"), {"": "c"})
+
+
+def test_phrases_beat_characters(spark):
+    """Words change as a whole: the longest from the left, with outputs of any length, none of which is folded again."""
+    table = {"機": "机", "頭髮": "头发", "髮": "发", "發": "发", "發現": "发现", "計算機": "电脑", "算機": "?", "囉": "", "ab": "b", "bc": "x"}
+    texts = ["計算機和飛機", "頭髮發現囉", "發", "", None, "abc", "aabb\U0001f600bc", "\uffff\U0010ffff機"]
+    want = ["电脑和飛机", "头发发现", "发", "", None, "bc", "abb\U0001f600x", "\uffff\U0010ffff机"]
+    assert column(spark, texts, lambda c: fold_variants(c, table)) == want
+    assert column(spark, ["計算機"], lambda c: F.array_join(tokenize(c, variants=table), "|")) == ["电脑"]
 
 
 def test_tokens(spark):
