@@ -84,3 +84,26 @@ def test_tables_too_large_to_broadcast(spark, monkeypatch):
     words = spark.createDataFrame([("ab",), ("ac",)], "word string")
     cut = segment.segment(solid, "text", words, in_tasks=False).collect()
     assert [row["tokens"] for row in cut] == [["ab", "ac"]] * 20
+
+
+def test_a_training_pass_moves_no_tokens(spark, tmp_path):
+    """Tokens join weights and texts in their own buckets; what is exchanged are sums per text and per word."""
+    from kvetch.operators import training
+
+    texts = spark.createDataFrame([(label, [f"w{k % 7}", f"v{k}", "all"]) for k in range(60) for label in "ab"], "label string, tokens array<string>")
+    steps = training.training_passes(texts, in_tasks=False)
+    model = next(steps)
+    layout = training._Layout.written(texts, model.classes, str(tmp_path))
+    assert {r["word"] for r in layout.hot.collect()} >= {"", "wall"}
+    rows = training.wide(training._marked(model.terms), model.classes)
+    weights = training._bucketed(layout.weights(rows), f"{tmp_path}/weights", "word", "salt")
+    # A hot word's tokens lie in several buckets, each beside its weights.
+    assert spark.table(layout.by_word).where("word = 'wall'").select("salt").distinct().count() > 1
+    text = plan(layout.added(spark.table(weights), model))
+    training._dropped(spark, layout.by_word, layout.by_text, weights)
+    steps.close()
+    exchanges = [re.sub(r"#\d+L?", "", found) for found in re.findall(r"Exchange (\w+\(.*?\)), ENSURE", text)]
+    assert sorted(exchanges) == ["hashpartitioning(text, 8)", "hashpartitioning(word, 8)"]
+    assert text.count("Bucketed: true") == 3
+    # Each exchange is fed by a sum formed before it.
+    assert text.count("partial_sum") >= 2 and len(re.findall(r"Exchange .*\n\W*HashAggregate", text)) == 2
