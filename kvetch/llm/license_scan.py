@@ -149,7 +149,7 @@ SINGLE = [
 def all_rules() -> list[Rule]:
     """The rules in order: the more a rule says, the earlier it comes."""
     rules = [
-        Rule(label, f"spdx licen[sc]e identifier {label}( [0-9]+)*( (only|or later))?", "spdx", 9, 1.0)
+        Rule(label, f"spdx licen[sc]e identifier {label}( [0-9]+)*+( (only|or later))?", "spdx", 9, 1.0)
         for label in sorted({label for _, _, label, _ in FAMILIES})
     ]
     for keyword, name, label, versions in FAMILIES:

@@ -88,7 +88,7 @@ def wordings(pattern):
             elif name == "SUBPATTERN":
                 more = of(value[-1])
             else:
-                assert name == "MAX_REPEAT"
+                assert name in ("MAX_REPEAT", "POSSESSIVE_REPEAT")
                 more = [x * k for x in of(value[2]) for k in range(value[0], min(value[1], 2) + 1)]
             out = [a + b for a in out for b in dict.fromkeys(more)]
         return out
@@ -289,3 +289,11 @@ def test_backoff_probabilities_of_a_state_sum_to_one(spark):
 def test_empty_tables(nothing):
     assert license_scan.scan(nothing).count() == 0
     assert backoff_lm.score(nothing).count() == 0
+
+
+def test_rules_stand_long_repeats(spark):
+    """Every rule's own words, and runs of numbers, some ten thousand times over: no rule may overflow the stack."""
+    words = sorted({w for rule in license_scan.all_rules() for w in re.findall("[a-z0-9]+", rule.pattern) if len(w) > 1})
+    rows = [(1, "spdx license identifier gpl" + " 1" * 30_000), (2, "spdx license identifier mit " + "gpl 2 0 " * 3_000), (3, " ".join(words) + " " + "licence version 2 0 or later " * 2_000)]
+    got = {r["doc_id"]: r for r in license_scan.scan(texts.table(spark, rows)).collect()}
+    assert "gpl" in got[1]["labels"].split(",") and got[1]["n_words"] == 30_004 and got[2]["n_words"] == 9_004
