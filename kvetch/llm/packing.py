@@ -15,6 +15,7 @@ rows. Other columns of the input are ignored.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -30,9 +31,14 @@ FULL = 2048
 END_ID = 1
 # Distinct words whose ids a worker keeps.
 CACHE_WORDS = 1_000_000
-# Letters with ASCII punctuation behind them: the tokenizer cuts between the two, whatever they are.
+# Letters with ASCII punctuation behind them: the tokenizer cuts between the two, if normalising leaves the letters letters.
 WORD = r"^(?P<core>\p{L}+)(?P<tail>[!-/:-@\[-`{-~]*)$"
 
+LETTERS = r"^\p{L}+$"
+# How the tokenizer normalises and cuts, and all that this module relies on.
+NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
 _encoders: dict[str, WordEncoder] = {}
 
 
@@ -47,6 +53,11 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        parts = json.loads(self.tokenizer.to_str())
+        kinds = [part["type"] for part in (parts["normalizer"] or {}).get("normalizers", [])]
+        cutters = (parts["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        if kinds != NORMALIZERS or cutters[0].get("pattern") != {"Regex": CUT}:
+            raise ValueError("the tokenizer has to drop white space and to cut letters from punctuation")
         self.clear()
 
     def clear(self) -> None:
@@ -105,8 +116,11 @@ class WordEncoder:
         coded = split.flatten().dictionary_encode()
         words, of_word = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
         parts = pc.extract_regex(words, WORD)
-        whole = pc.is_null(parts)
-        core = pc.if_else(whole, words, pc.ascii_lower(pc.fill_null(parts.field("core"), "")))
+        letters = pc.fill_null(parts.field("core"), "")
+        # U+0130 becomes two characters in lower case, and others do when they are composed: the second is no letter.
+        other = pc.or_(pc.match_substring(letters, "\u0130"), pc.invert(pc.match_substring_regex(pc.utf8_normalize(letters, "NFC"), LETTERS)))
+        whole = pc.or_(pc.is_null(parts), other)
+        core = pc.if_else(whole, words, pc.ascii_lower(letters))
         tail = pc.if_else(whole, "", pc.fill_null(parts.field("tail"), ""))
         pair = []
         for side in (core, tail):

@@ -48,6 +48,26 @@ def test_packing_stands_odd_rows(documents, nothing):
     assert packing.pack(nothing, WORD_MODEL).count() == 0
 
 
+def test_ids_are_the_tokenizers_on_awkward_words():
+    """Words that change their letters when normalised, with punctuation behind them, and unspaced scripts."""
+    from tokenizers import Tokenizer
+
+    rng = random.Random(9)
+    odd = list("aZ\u0130\u0131\u017f\u1e9e\u03a3\u0958\u095f\ufb1d\ufb2a\u0301\u0307\u0308\u212a\ufb01日本ไทย한e1²") + ["<|endoftext|>", "'s", "\u1100\u1161", "\U0002f801", "\u2126"]
+    ends = ["", "", ".", "!", ",", ")", "...", "'s", "-"]
+    texts_ = [" ".join("".join(rng.choices(odd, k=rng.randint(1, 6))) + rng.choice(ends) for _ in range(rng.randint(1, 5))) for _ in range(6000)]
+    texts_ += ["TAT\u0130L\u0130. ok", "\u0958! x", "\ufb2a, x"]
+    ids, starts = packing.WordEncoder(WORD_MODEL).encode(pa.array(texts_))
+    tokenizer = Tokenizer.from_file(WORD_MODEL)
+    want = [[*found.ids, packing.END_ID] for found in tokenizer.encode_batch(texts_, add_special_tokens=False)]
+    assert [ids[lo:hi].tolist() for lo, hi in zip(starts, starts[1:], strict=False)] == want
+
+
+def test_other_tokenizers_are_refused():
+    with pytest.raises(ValueError, match="tokenizer"):
+        packing.WordEncoder(queries.tokenizer_path("byte_bpe_50k.json"))
+
+
 def judged(url, rules, labels, default="allow"):
     host = path = ""
     if url and "://" in url:
