@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kvetch.functions.rows import explode_rows
+from kvetch.operators.bloom import word_filter
 
 # Word tables up to these sizes are sent to every task.
 MAX_ROWS = 1_000_000
@@ -104,17 +105,39 @@ def matches(df: DataFrame, tokens: str, table: DataFrame, how: str = "inner") ->
 
 def with_matches(df: DataFrame, tokens: str, table: DataFrame, name: str, how: str = "inner") -> DataFrame:
     """Add ``name``: the matches of each row's tokens in token order, as structs."""
-    found = matches(df, tokens, table, how)
+    keyed = df.withColumn("print", fingerprint(F.col(tokens)))
+    return _listed(keyed, matches(df, tokens, table, how), name)
+
+
+def _listed(keyed: DataFrame, found: DataFrame, name: str) -> DataFrame:
     payload = [column for column in found.columns if column not in ("print", "copies", "pos")]
     listed = found.groupBy("print").agg(
         F.array_sort(F.collect_list(F.struct("pos", *payload))).alias(name)
     )
-    keyed = df.withColumn("print", fingerprint(F.col(tokens)))
     return keyed.join(listed, "print", "left").drop("print").withColumn(
         name, F.coalesce(name, F.array())
     )
 
 
+def with_rare_matches(df: DataFrame, tokens: str, table: DataFrame, name: str) -> DataFrame:
+    """As :func:`with_matches`, for a large table that holds few of the tokens.
+
+    A Bloom filter of the table's words is tested in the scan, and only tokens that pass it leave their row. Rows
+    without any keep to themselves in the join that brings the matches back.
+    """
+    may_be = word_filter(table)
+    numbered = F.transform(tokens, lambda word, pos: F.struct(pos.alias("pos"), word.alias("word")))
+    held = df.withColumn("_held", may_be(F.col(tokens)))
+    held = held.withColumn("_held", F.filter(numbered, lambda token: F.get("_held", token["pos"])))
+    some = F.size("_held") > 0
+    # Of rows without a match none has a partner, so each is dealt by itself.
+    own = F.concat(F.lit("-"), F.monotonically_increasing_id().cast("string"))
+    keyed = held.withColumn("print", F.when(some, fingerprint(F.col(tokens))).otherwise(own))
+    distinct = keyed.where(some).select("print", "_held").groupBy("print").agg(F.first("_held").alias("_held"))
+    words = explode_rows(distinct, "_held", "token", "print").select("print", "token.pos", "token.word")
+    return _listed(keyed.drop("_held"), lookup_join(words, table, "inner"), name)
+
+
 def remove_words(df: DataFrame, tokens: str, words: DataFrame) -> DataFrame:
     """Drop the tokens listed in the one-column table ``words``; order and repeats stay.
 
