@@ -74,3 +74,39 @@ def test_no_paired_words(spark, in_tasks):
     texts = spark.createDataFrame([(["a"],)], "tokens array<string>")
     table = spark.createDataFrame([("a", "w")], "word string, nature string")
     assert pairs.noun_predicate_pairs(texts, table, in_tasks=in_tasks).count() == 0
+
+
+def test_a_text_of_many_pairs(spark, monkeypatch):
+    """50,000 nouns and 50,000 predicates in one text, and sums that are sent on early."""
+    table = spark.createDataFrame([(f"n{k}", "n") for k in range(700)] + [(f"v{k}", "v") for k in range(500)], "word string, nature string")
+    long = [f"n{k % 700}" for k in range(50_000)] + [f"v{k % 500}" for k in range(50_000)]
+    texts = spark.createDataFrame([(long,), (["n1", "v1"],), (None,)], "tokens array<string>")
+    found = {r["words"]: r["cnt"] for r in pairs.noun_predicate_pairs(texts, table).collect()}
+    assert len(found) == 350_000 and sum(found.values()) == 50_000 * 50_000 + 1
+    assert found["n1-v1"] == sum(w == "n1" for w in long) * 100 + 1
+
+
+@pytest.mark.parametrize("cell", [1, 2, 1000])
+def test_grids_of_any_size(spark, monkeypatch, cell):
+    monkeypatch.setattr(pairs, "_CELL", cell)
+    monkeypatch.setattr(pairs, "_PRODUCTS", 3)
+    texts = spark.createDataFrame([(text.split(),) for text in TEXTS] + [("thing name good was thing good".split(),)], "tokens array<string>")
+    table = spark.createDataFrame(LEXICON, "word string, nature string")
+    small, large = (sorted(map(str, pairs.noun_predicate_pairs(texts, table, in_tasks=x).collect())) for x in (True, False))
+    assert small == large
+
+
+def test_products_and_merges():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    sums, want = pairs._PairSums(20), np.zeros((20, 20), np.int64)
+    noun = np.arange(20) < 12
+    for _ in range(5):
+        counts = rng.integers(0, 3, (7, 20))
+        owner, place = np.nonzero(counts)
+        assert not list(sums.add(owner, place, counts[owner, place], noun[place], 7))
+        want += (counts * noun).T @ (counts * ~noun)
+    got = sums.taken().to_pydict()
+    assert {(a, b): c for a, b, c in zip(got["noun"], got["predicate"], got["cnt"])} == {(a, b): want[a, b] for a, b in zip(*np.nonzero(want))}
+    assert sums.taken().num_rows == 0
