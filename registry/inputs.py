@@ -156,6 +156,14 @@ def lexicon(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(LEXICON, "word string, nature string")
 
 
+def nature_behind(before: Column) -> Column:
+    """A nature for the column ``word``: of most words it depends on the word before."""
+    word, even = F.col("word"), F.length(F.coalesce(before, F.lit(""))) % 2 == 0
+    return F.when(F.length("word") > 9, "nz").when(word.rlike("[aeiou]$"), F.when(even, "n").otherwise("v")).when(
+        word.rlike("[nrst]$"), F.when(even, "a").otherwise("n")
+    ).otherwise("d")
+
+
 def some_text() -> Column:
     """The text, NULL for every thirteenth document."""
     return F.when(F.col("doc_id") % 13 != 4, F.col("text"))

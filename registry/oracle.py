@@ -353,6 +353,40 @@ SELECT s.conv_id, s.turn, coalesce(string_agg(substr(s.s, w.e + 1, w.until - w.e
 FROM solid s JOIN walk w ON w.conv_id = s.conv_id AND w.turn = s.turn GROUP BY s.conv_id, s.turn
 """
 
+_NATURES_IN_CONTEXT = f"""
+WITH RECURSIVE {_TOKENS},
+read AS (SELECT doc_id, unnest(tokens) AS word, generate_subscripts(tokens, 1) AS pos FROM tokens),
+behind AS (SELECT *, length(coalesce(lag(word) OVER (PARTITION BY doc_id ORDER BY pos), '')) % 2 = 0 AS even FROM read),
+tagged AS (
+  SELECT doc_id, pos, word, CASE WHEN length(word) > 9 THEN 'nz' WHEN regexp_matches(word, '[aeiou]$') THEN CASE WHEN even THEN 'n' ELSE 'v' END
+    WHEN regexp_matches(word, '[nrst]$') THEN CASE WHEN even THEN 'a' ELSE 'n' END ELSE 'd' END AS nature FROM behind),
+natures AS (SELECT nature FROM tagged UNION SELECT 'x'),
+seen AS (SELECT before, nature, count(*) AS n FROM (
+  SELECT nature, coalesce(lag(nature) OVER (PARTITION BY doc_id ORDER BY pos), '') AS before FROM tagged) GROUP BY ALL),
+rows_seen AS (SELECT before, sum(n) AS total FROM seen GROUP BY before),
+follow AS MATERIALIZED (
+  SELECT b.before, a.nature, round(ln((coalesce(r.total, 0) + (SELECT count(*) FROM natures)) / (coalesce(s.n, 0) + 1)) * 1000000)::BIGINT AS cost
+  FROM (SELECT nature AS before FROM natures UNION ALL SELECT '') b CROSS JOIN natures a
+  LEFT JOIN seen s ON s.before = b.before AND s.nature = a.nature LEFT JOIN rows_seen r ON r.before = b.before),
+emitted AS (
+  SELECT word, nature, round(ln(sum(n) OVER (PARTITION BY nature) / n) * 1000000)::BIGINT AS cost
+  FROM (SELECT word, nature, count(*) AS n FROM tagged GROUP BY ALL)),
+turns AS (SELECT conv_id, turn, {_tokens('lower(text)')} AS tokens FROM conversations),
+said AS (SELECT conv_id, turn, unnest(tokens) AS word, generate_subscripts(tokens, 1) AS pos FROM turns),
+options AS MATERIALIZED (
+  SELECT conv_id, turn, pos, coalesce(nature, 'x') AS nature, coalesce(cost, 0) AS cost FROM said LEFT JOIN emitted USING (word)),
+ways AS (
+  SELECT conv_id, turn, 0::BIGINT AS pos, '' AS nature, 0::BIGINT AS cost, '' AS path FROM turns
+  UNION ALL
+  SELECT w.conv_id, w.turn, o.pos, o.nature, min(w.cost + f.cost + o.cost),
+    first(w.path || ' ' || o.nature ORDER BY w.cost + f.cost + o.cost, w.nature)
+  FROM ways w JOIN options o ON o.conv_id = w.conv_id AND o.turn = w.turn AND o.pos = w.pos + 1
+  JOIN follow f ON f.before = w.nature AND f.nature = o.nature
+  GROUP BY w.conv_id, w.turn, o.pos, o.nature)
+SELECT conv_id, turn, substr(first(path ORDER BY cost, nature), 2) AS natures
+FROM ways JOIN (SELECT conv_id, turn, len(tokens) AS pos FROM turns) USING (conv_id, turn, pos) GROUP BY conv_id, turn
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "scan_comments_by_day": f"""WITH {_COMMENTS.format(day=inputs.DAY, nature="CASE lang WHEN 'en' THEN -1 WHEN 'fr' THEN 0 WHEN 'es' THEN 1 END")}
         SELECT * EXCLUDE (dt) FROM comments WHERE nature < 1 AND dt = {inputs.DAY} AND content IS NOT NULL""",
@@ -396,6 +430,7 @@ ORACLE_SQL: dict[str, str] = {
     "tokenize_with_nature": f"""WITH {_TOKENS}, {_LEXICON},
         places AS (SELECT doc_id, generate_subscripts(tokens, 1) - 1 AS pos, unnest(tokens) AS word FROM tokens)
         SELECT doc_id, pos, word, coalesce(nature, 'x') AS nature FROM places LEFT JOIN lexicon USING (word)""",
+    "tokenize_with_nature_in_context": _NATURES_IN_CONTEXT,
     "lexicon_with_user_words": f"""WITH {_TOKENS},
         base AS (SELECT DISTINCT unnest(tokens) AS word FROM tokens),
         users AS (SELECT DISTINCT unnest({_tokens('lower(text)')}) AS word FROM benchmark)

@@ -5,12 +5,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kvetch.functions.rows import explode_rows
 from kvetch.functions.text import fold_variants, fold_width, tokenize, without_words
-from kvetch.operators import features, keywords, lexicon, model, pairs, segment, training
+from kvetch.operators import features, keywords, lexicon, model, pairs, segment, tagger, training
 from kvetch.operators.merge import merge_classes as merged_classes
 from kvetch.plans import jobs
 from kvetch.session import java_charsets, scratch_folder
@@ -194,6 +194,17 @@ def tokenize_with_nature(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagged.withColumn("pos", _long("pos"))
 
 
+def tokenize_with_nature_in_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All turns, by the natures that the documents' words have behind each other."""
+    words = explode_rows(_tokens(spark, sf_dir), "tokens", "word", "doc_id", pos="pos")
+    before = F.lag("word").over(Window.partitionBy("doc_id").orderBy("pos"))
+    tagged = words.select("doc_id", "pos", "word", inputs.nature_behind(before).alias("nature"))
+    turns = inputs.spread(inputs.read(spark, sf_dir, "conversations").select("conv_id", "turn", "text"))
+    texts = turns.select("conv_id", "turn", tokenize(F.col("text")).alias("tokens"))
+    found = tagger.with_natures(texts, "tokens", tagger.train_tagger(tagged, "doc_id"))
+    return found.select("conv_id", "turn", _joined("natures").alias("natures"))
+
+
 def lexicon_with_user_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All words of the documents, with the words of the benchmark put in by a user."""
     words = features.vocabulary(_tokens(spark, sf_dir))
@@ -499,6 +510,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normalized_tokens": normalized_tokens,
     "stop_word_filter": stop_word_filter,
     "tokenize_with_nature": tokenize_with_nature,
+    "tokenize_with_nature_in_context": tokenize_with_nature_in_context,
     "lexicon_with_user_words": lexicon_with_user_words,
     "segment_longest_match": segment_longest_match,
     "segment_longest_match_by_join": segment_longest_match_by_join,
