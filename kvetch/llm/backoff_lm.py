@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kvetch.llm.common import (
-    blocks_of, bucket_cuts, from_planes, mix, packed_keys, planes, sorted_rows, text_bytes, unpacked_keys, word_keys,
+    blocks_of, bucket_cuts, from_planes, mix, packed_keys, planes, release, sorted_rows, text_bytes, unpacked_keys, word_keys,
 )
 
 ORDER = 2
@@ -103,26 +103,30 @@ def table_of(rows: list[tuple], types: list[pa.DataType], names: list[str]) -> p
 
 
 def totals(table: pa.Table) -> pa.Table:
-    """For each block's n-grams of a bucket the counts over all blocks; and the bucket's share of N and V."""
-    columns = table["keys"].to_pylist(), table["counts"].to_pylist()
-    replies = [[] for _ in range(table.num_rows)]
+    """For each block's n-grams of a bucket the counts over all blocks; and the bucket's share of N and V.
+
+    One size of n-grams at a time, and of it one block at a time: only the distinct ones of the bucket are held unpacked.
+    """
+    keys, counts = (table[name].combine_chunks() for name in ("keys", "counts"))
+    blocks = range(table.num_rows)
+    replies = [[] for _ in blocks]
     tokens = kinds = 0
-    for size in range(len(columns[0][0])):
-        held = [unpacked_keys(x[size]) for x in columns[0]]
-        counts = np.concatenate([from_planes(x[size]) for x in columns[1]])
-        keys, at = np.unique(np.concatenate(held), return_inverse=True)
-        total = np.bincount(at, weights=counts, minlength=len(keys)).astype(np.int64)
-        start = 0
-        for reply, own in zip(replies, held, strict=True):
-            reply.append(planes(total[at[start : start + len(own)]]))
-            start += len(own)
+    for size in range(len(keys[0])):
+        merged = np.unique(np.concatenate([unpacked_keys(keys[row][size].as_py()) for row in blocks]))
+        total = np.zeros(len(merged), np.int64)
+        for row in blocks:
+            total[np.searchsorted(merged, unpacked_keys(keys[row][size].as_py()))] += from_planes(counts[row][size].as_py())
+        for row, reply in zip(blocks, replies, strict=True):
+            reply.append(planes(total[np.searchsorted(merged, unpacked_keys(keys[row][size].as_py()))]))
         if size == 0:
-            token = keys != START
+            token = merged != START
             tokens, kinds = int(total[token].sum()), int((total[token] > 0).sum())
     bucket = table["bucket"][0].as_py()
     rows = [(block, bucket, reply, 0, 0) for block, reply in zip(table["block"].to_pylist(), replies, strict=True)]
     rows[0] = (*rows[0][:3], tokens, kinds)
     types = [pa.int32(), pa.int32(), pa.list_(pa.binary()), pa.int64(), pa.int64()]
+    del keys, counts, merged, total, replies
+    release()
     return table_of(rows, types, ["block", "bucket", "counts", "tokens", "kinds"])
 
 
@@ -132,7 +136,7 @@ def scores(text: pa.Table, replies: pa.Table, order: int, strength: float) -> pa
     all_tokens, kinds = (replies[x][0].as_py() for x in ("all_tokens", "all_kinds"))
     told = replies.sort_by("bucket")["counts"].to_pylist()
     counts = {size: [from_planes(x[size - 1]) for x in told] for size in range(1, order + 1)}
-    log_p, before = None, None
+    before = None
     for size, (_, _, whole, inverse) in enumerate(block.grams, 1):
         # The count of the gram that ends at each place; 0 where the text is shorter.
         count = np.zeros(len(block.tokens))
@@ -168,7 +172,16 @@ def score(documents: DataFrame, order: int = ORDER, strength: float = STRENGTH)
     )
     buckets = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     by_block = dealt.groupBy("block")
-    asked = by_block.applyInArrow(lambda table: requests(table, buckets, order), REQUEST)
+
+    def ask(table: pa.Table) -> pa.Table:
+        release()  # what the group before has left
+        return requests(table, buckets, order)
+
+    def answer(text: pa.Table, replies: pa.Table) -> pa.Table:
+        release()
+        return scores(text, replies, order, strength)
+
+    asked = by_block.applyInArrow(ask, REQUEST)
     answered = asked.groupBy("bucket").applyInArrow(
         totals, "block int, bucket int, counts array<binary>, tokens long, kinds long"
     )
@@ -179,6 +192,6 @@ def score(documents: DataFrame, order: int = ORDER, strength: float = STRENGTH)
         "all_tokens": corpus.select("all_tokens").scalar(), "all_kinds": corpus.select("all_kinds").scalar(),
     })
     return by_block.cogroup(told.groupBy("block")).applyInArrow(
-        lambda text, replies: scores(text, replies, order, strength),
+        answer,
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
     )
