@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -78,6 +79,15 @@ class Block:
             self.grams.append((kept if size == 1 else kept << shift, counts, whole, inverse))
 
 
+def squeezed(raw: bytes) -> bytes:
+    """Planes of bytes by their entropy: most hold few different values, but no repeats that a faster codec would find."""
+    return zstandard.ZstdCompressor(level=1).compress(raw)
+
+
+def unsqueezed(raw: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(raw)
+
+
 REQUEST = "block int, bucket int, keys array<binary>, counts array<binary>"
 
 
@@ -90,8 +100,8 @@ def requests(table: pa.Table, buckets: int, order: int) -> pa.Table:
     for k in np.flatnonzero(sum(map(np.diff, cuts))).tolist():
         parts = [slice(c[k], c[k + 1]) for c in cuts]
         rows.append((
-            number, k, [packed_keys(g[0][s] >> shift) for g, s, shift in zip(block.grams, parts, shifts, strict=True)],
-            [planes(g[1][s]) for g, s in zip(block.grams, parts, strict=True)],
+            number, k, [squeezed(packed_keys(g[0][s] >> shift)) for g, s, shift in zip(block.grams, parts, shifts, strict=True)],
+            [squeezed(planes(g[1][s])) for g, s in zip(block.grams, parts, strict=True)],
         ))
     lists = pa.list_(pa.binary())
     return table_of(rows, [pa.int32(), pa.int32(), lists, lists], ["block", "bucket", "keys", "counts"])
@@ -102,32 +112,38 @@ def table_of(rows: list[tuple], types: list[pa.DataType], names: list[str]) -> p
     return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
 
+def _merged(table: pa.Table, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams of one size that a bucket has, and their counts over all blocks, added block by block."""
+    keys, counts = ([row[size].as_py() for row in table[name]] for name in ("keys", "counts"))
+    merged = np.unique(np.concatenate([unpacked_keys(unsqueezed(raw)) for raw in keys]))
+    total = np.zeros(len(merged), np.int64)
+    for raw, count in zip(keys, counts, strict=True):
+        total[np.searchsorted(merged, unpacked_keys(unsqueezed(raw)))] += from_planes(unsqueezed(count))
+    return merged, total
+
+
+def shares(table: pa.Table) -> pa.Table:
+    """A bucket's share of N and V."""
+    merged, total = _merged(table, 0)
+    total = total[merged != START]
+    return pa.table({"tokens": pa.array([int(total.sum())]), "kinds": pa.array([int((total > 0).sum())])})
+
+
 def totals(table: pa.Table) -> pa.Table:
-    """For each block's n-grams of a bucket the counts over all blocks; and the bucket's share of N and V.
+    """For each block's n-grams of a bucket the counts over all blocks.
 
     One size of n-grams at a time, and of it one block at a time: only the distinct ones of the bucket are held unpacked.
     """
-    keys, counts = (table[name].combine_chunks() for name in ("keys", "counts"))
-    blocks = range(table.num_rows)
-    replies = [[] for _ in blocks]
-    tokens = kinds = 0
-    for size in range(len(keys[0])):
-        merged = np.unique(np.concatenate([unpacked_keys(keys[row][size].as_py()) for row in blocks]))
-        total = np.zeros(len(merged), np.int64)
-        for row in blocks:
-            total[np.searchsorted(merged, unpacked_keys(keys[row][size].as_py()))] += from_planes(counts[row][size].as_py())
-        for row, reply in zip(blocks, replies, strict=True):
-            reply.append(planes(total[np.searchsorted(merged, unpacked_keys(keys[row][size].as_py()))]))
-        if size == 0:
-            token = merged != START
-            tokens, kinds = int(total[token].sum()), int((total[token] > 0).sum())
+    replies = [[] for _ in range(table.num_rows)]
+    for size in range(len(table["keys"][0])):
+        merged, total = _merged(table, size)
+        for row, reply in zip(table["keys"], replies, strict=True):
+            reply.append(squeezed(planes(total[np.searchsorted(merged, unpacked_keys(unsqueezed(row[size].as_py())))])))
     bucket = table["bucket"][0].as_py()
-    rows = [(block, bucket, reply, 0, 0) for block, reply in zip(table["block"].to_pylist(), replies, strict=True)]
-    rows[0] = (*rows[0][:3], tokens, kinds)
-    types = [pa.int32(), pa.int32(), pa.list_(pa.binary()), pa.int64(), pa.int64()]
-    del keys, counts, merged, total, replies
+    rows = [(block, bucket, reply) for block, reply in zip(table["block"].to_pylist(), replies, strict=True)]
+    del merged, total, replies
     release()
-    return table_of(rows, types, ["block", "bucket", "counts", "tokens", "kinds"])
+    return table_of(rows, [pa.int32(), pa.int32(), pa.list_(pa.binary())], ["block", "bucket", "counts"])
 
 
 def scores(text: pa.Table, replies: pa.Table, order: int, strength: float) -> pa.Table:
@@ -135,7 +151,7 @@ def scores(text: pa.Table, replies: pa.Table, order: int, strength: float) -> pa
     block = Block(text, order)
     all_tokens, kinds = (replies[x][0].as_py() for x in ("all_tokens", "all_kinds"))
     told = replies.sort_by("bucket")["counts"].to_pylist()
-    counts = {size: [from_planes(x[size - 1]) for x in told] for size in range(1, order + 1)}
+    counts = {size: [from_planes(unsqueezed(x[size - 1])) for x in told] for size in range(1, order + 1)}
     before = None
     for size, (_, _, whole, inverse) in enumerate(block.grams, 1):
         # The count of the gram that ends at each place; 0 where the text is shorter.
@@ -182,13 +198,12 @@ def score(documents: DataFrame, order: int = ORDER, strength: float = STRENGTH)
         return scores(text, replies, order, strength)
 
     asked = by_block.applyInArrow(ask, REQUEST)
-    answered = asked.groupBy("bucket").applyInArrow(
-        totals, "block int, bucket int, counts array<binary>, tokens long, kinds long"
-    )
-    corpus = answered.agg(
+    # Both read the same shuffle, the first only the single tokens in it.
+    corpus = asked.groupBy("bucket").applyInArrow(shares, "tokens long, kinds long").agg(
         F.coalesce(F.sum("tokens"), F.lit(0)).alias("all_tokens"), F.coalesce(F.sum("kinds"), F.lit(0)).alias("all_kinds")
     )
-    told = answered.drop("tokens", "kinds").withColumns({
+    answered = asked.groupBy("bucket").applyInArrow(totals, "block int, bucket int, counts array<binary>")
+    told = answered.withColumns({
         "all_tokens": corpus.select("all_tokens").scalar(), "all_kinds": corpus.select("all_kinds").scalar(),
     })
     return by_block.cogroup(told.groupBy("block")).applyInArrow(
