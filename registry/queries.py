@@ -19,8 +19,7 @@ from registry import inputs
 
 # Passes of the trained models; the SQL twins state them one by one.
 PASSES = training.PASSES
-# The join way of training and the weights of single texts write a table in each pass, seconds where
-# the other way takes tenths.
+# The join way of training and the weights of single texts take as many.
 PASSES_BY_JOIN = PASSES
 
 
