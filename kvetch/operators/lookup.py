@@ -15,6 +15,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,8 +47,15 @@ def fits(table: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES)
 def small_table(
     table: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES
 ) -> pa.Table | None:
-    """The table's rows if it is within the limits, otherwise None."""
-    return table.toArrow() if fits(table, max_rows, max_bytes) else None
+    """The table's rows if it is within the limits, otherwise None. Its plan runs once."""
+    own = not (table.storageLevel.useMemory or table.storageLevel.useDisk)
+    if own:
+        table.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return table.toArrow() if fits(table, max_rows, max_bytes) else None
+    finally:
+        if own:
+            table.unpersist()
 
 
 def finder(words: pa.Array) -> Callable[[pa.Array], np.ndarray]:
