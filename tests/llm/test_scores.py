@@ -12,6 +12,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import texts
+import xxhash
 from pyspark.sql import functions as F
 
 from kvetch.llm import backoff_lm, license_scan, quality_gam, queries, syncmers
@@ -146,10 +147,81 @@ def test_edited_texts_and_likeness(spark, documents, rows):
     assert sum(r["near_edited"] for r in got) > sum(r["near_next"] for r in got)
 
 
+def murmur(values, seed=42):
+    """Spark's hash of ints and longs (given as value, width in words)."""
+    def rotated(x, n):
+        return (x << n | x >> (32 - n)) & 0xFFFFFFFF
+
+    h = seed
+    for value, n_words in values:
+        value &= (1 << 32 * n_words) - 1
+        for k in range(n_words):
+            h ^= rotated((value >> 32 * k & 0xFFFFFFFF) * 0xCC9E2D51 & 0xFFFFFFFF, 15) * 0x1B873593 & 0xFFFFFFFF
+            h = (rotated(h, 13) * 5 + 0xE6546B64) & 0xFFFFFFFF
+        h ^= 4 * n_words
+        for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35), (16, 1)):
+            h = (h ^ h >> shift) * factor & 0xFFFFFFFF
+    return h - (h >> 31 << 32)
+
+
+def syncmer_links(text):
+    """The fingerprint by its definition; None where it is the hash of the whole text."""
+    spaced = f"[{syncmers.SPACED}]".replace(r"\x{", r"\U{")
+    spaced = re.sub(r"\\U\{(\w+)\}", lambda m: f"\\U{int(m[1], 16):08x}", spaced)
+    tokens = []
+    for run, single in re.findall(rf"({spaced}+)|([^\x00-\x7F])", text):
+        tokens += [single] if single else [run] if len(run) <= syncmers.TOKEN else list(run)
+    inner = []
+    for x, y in zip(tokens, tokens[1:], strict=False):
+        h = xxhash.xxh64_intdigest(y.encode(), xxhash.xxh64_intdigest(x.encode(), 42))
+        inner.append(h - (h >> 63 << 64))
+    found = []
+    for k in range(len(inner) - 3):
+        part = inner[k : k + 4]
+        if min(part) in (part[0], part[3]):
+            found.append((k, murmur([(part[0], 2), (part[2], 2), (part[3], 2)])))
+    if not text:
+        return []
+    if len(found) < 2:
+        return [h for _, h in found] or None
+    return [murmur([(x, 1), (b - a, 1), (y, 1)]) for (a, x), (b, y) in zip(found, found[1:], strict=False)]
+
+
+def test_fingerprints_equal_brute_force(spark):
+    rng = random.Random(5)
+    passage = texts.sentence(rng, 500)
+    han = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(4000))
+    table = [t for _, t in texts.corpus(30)] + [
+        f"{texts.sentence(rng, 30000)} {passage} {texts.sentence(rng, 50)}", f"{texts.sentence(rng, 200)} {passage} {texts.sentence(rng, 30000)}",
+        han, "好" + han, "q" + "".join(rng.choices("acgt", k=3000)), "\u0e01\u0e02\u0e03 a1 \U0001f600\U00020001 " * 20, "a b " * 50, "one two", "",
+    ]
+    got = {r["doc_id"]: r for r in syncmers.compare_with_next(texts.table(spark, list(enumerate(table)))).collect()}
+
+    def hexed(links):
+        return "".join(f"{x & 0xFFFFFFFF:08x}" for x in links)
+
+    def alike(a, b):
+        return 1.0 if a == b else len(set(a) & set(b)) / len(set(a) | set(b))
+
+    for k, text in enumerate(table):
+        after = table[(k + 1) % len(table)]
+        links, edited, following = (syncmer_links(x) for x in (text, text[: len(text) - len(text) // 2] + after[: len(text) // 2], after))
+        if links is not None:
+            assert got[k]["fingerprint"] == hexed(links)
+        if edited is not None:
+            assert got[k]["edited_fingerprint"] == hexed(edited)
+        if None not in (links, edited, following):
+            assert got[k]["near_edited"] == pytest.approx(alike(links, edited), abs=1e-12)
+            assert got[k]["near_next"] == pytest.approx(alike(links, following), abs=1e-12)
+    # A passage shared by long texts, and a character put in front of an unspaced text.
+    assert 0.005 < got[30]["near_next"] < 0.02 and got[32]["near_next"] > 0.99
+
+
 def test_fingerprints_of_other_ranges(spark, rows):
     table = texts.table(spark, rows).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     one, many = (
-        sorted((r["doc_id"] or -1, r["text"], r["next"]["text"]) for r in syncmers.with_next(table, ["text"], n).collect()) for n in (2, 40)
+        sorted((r["doc_id"] or -1, r["text"], r["next"]["text"]) for r in syncmers.with_next(table, ["text"], n).collect())
+        for n in (1 << 30, 200)
     )
     assert one == many
     single = syncmers.compare_with_next(texts.table(spark, [(5, "a lonely text with enough words to have anchors here")])).collect()[0]
