@@ -22,6 +22,7 @@ columns are ignored.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -189,42 +190,76 @@ def spaced(text: Column) -> Column:
 
 
 
-def intervals(form: Column, pattern: Column) -> Column:
-    """First and last word of each place of a pattern, in order."""
-    hits = F.regexp_extract_all(form, pattern, F.lit(0))
-    gaps = F.split(form, pattern, -1)
+def gathered(items: Column, state: Column, empty: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """What ``step`` collects in the field ``found`` while it carries ``state`` along the items.
 
-    def count(x: Column) -> Column:
-        return ((F.char_length(x) - F.char_length(F.replace(x, F.lit(" "), F.lit("")))) / 2).cast("int")
-
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<first:int,last:int>>").alias("found"))
-    steps = F.zip_with(F.slice(gaps, 1, F.size(hits)), hits, lambda gap, hit: F.struct(count(gap).alias("gap"), count(hit).alias("hit")))
-    return F.aggregate(
-        steps, start,
-        lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + x["hit"]).alias("at"),
-            F.concat(acc["found"], F.array(F.struct(
-                (acc["at"] + x["gap"]).alias("first"), (acc["at"] + x["gap"] + x["hit"] - 1).alias("last")
-            ))).alias("found"),
-        ),
-        lambda acc: acc["found"],
+    Arrays grow by copying, so items are taken in stretches as long as there are stretches: n items cost n to the power
+    of 1.5 copied entries, not n squared.
+    """
+    width = F.ceil(F.sqrt(F.size(items))).cast("int")
+    stretches = F.transform(
+        F.sequence(F.lit(0), F.size(items) - 1, width), lambda at: F.slice(items, at + 1, width)
     )
 
+    def stretch(acc: Column, part: Column) -> Column:
+        start = F.struct(acc["state"].alias("state"), empty.alias("found"))
+        return F.aggregate(
+            part, start, step, lambda x: F.struct(x["state"].alias("state"), F.concat(acc["found"], x["found"]).alias("found"))
+        )
+
+    whole = F.aggregate(stretches, F.struct(state.alias("state"), empty.alias("found")), stretch, lambda acc: acc["found"])
+    return F.when(F.size(items) > 0, whole).otherwise(empty)
+
+
+def n_words(x: Column) -> Column:
+    """Words of a part of the spaced form that has both spaces of each."""
+    return ((F.char_length(x) - F.char_length(F.replace(x, F.lit(" "), F.lit("")))) / 2).cast("int")
+
+
+def intervals(lengths: Column) -> Column:
+    """First and last word of each place, in order, from the words before it since the last one (``gap``) and in it (``hit``)."""
+    def step(acc: Column, x: Column) -> Column:
+        first = acc["state"] + x["gap"]
+        place = F.struct(first.alias("first"), (first + x["hit"] - 1).alias("last"))
+        return F.struct((first + x["hit"]).alias("state"), F.concat(acc["found"], F.array(place)).alias("found"))
 
-def detections(form: Column, rules: list[Rule]) -> Column:
-    """All places of all rules whose keyword occurs, as structs that sort widest first from left to right."""
+    return gathered(lengths, F.lit(0), F.array().cast("array<struct<first:int,last:int>>"), step)
+
+
+def with_detections(forms: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Add ``detections``: all places in ``form`` of all rules whose keyword occurs, widest first from left to right.
+
+    Each step is a column of its own, so that a pattern runs once to find and, where it does, once to split.
+    """
+    grouped: dict[str, list[tuple[int, Rule]]] = {}
+    for k, rule in enumerate(rules):
+        grouped.setdefault(rule.keyword, []).append((k, rule))
     table = F.array(*[
-        F.struct(
-            F.lit(f" {r.keyword} ").alias("keyword"), F.lit(expression(r.pattern)).alias("pattern"), F.lit(r.priority).alias("priority"),
-            F.lit(k).alias("rule"),
-        )
-        for k, r in enumerate(rules)
+        F.struct(F.lit(f" {keyword} ").alias("keyword"), F.array(*[
+            F.struct(F.lit(expression(r.pattern)).alias("pattern"), F.lit(-r.priority).alias("rank"), F.lit(k).alias("rule")) for k, r in group
+        ]).alias("rules"))
+        for keyword, group in grouped.items()
     ])
-    tried = F.filter(table, lambda r: F.contains(form, r["keyword"]))
-    return F.array_sort(F.flatten(F.transform(tried, lambda r: F.transform(
-        intervals(form, r["pattern"]),
-        lambda x: F.struct(x["first"].alias("first"), F.negate(x["last"]).alias("until"), F.negate(r["priority"]).alias("rank"), r["rule"].alias("rule")),
-    ))))
+    form = F.col("form")
+    tried = F.flatten(F.transform(F.filter(table, lambda x: F.contains(form, x["keyword"])), lambda x: x["rules"]))
+    hits = F.transform(F.col("tried"), lambda r: F.struct(
+        r["pattern"].alias("pattern"), r["rank"].alias("rank"), r["rule"].alias("rule"),
+        F.regexp_extract_all(form, r["pattern"], F.lit(0)).alias("hits"),
+    ))
+    lengths = F.transform(F.filter("hit", lambda r: F.size(r["hits"]) > 0), lambda r: F.struct(
+        r["rank"].alias("rank"), r["rule"].alias("rule"),
+        F.filter(
+            F.zip_with(F.split(form, r["pattern"], -1), r["hits"], lambda gap, hit: F.struct(n_words(gap).alias("gap"), n_words(hit).alias("hit"))),
+            lambda x: x["hit"].isNotNull(),
+        ).alias("lengths"),
+    ))
+    places = F.transform("lengths", lambda r: F.transform(intervals(r["lengths"]), lambda x: F.struct(
+        x["first"].alias("first"), F.negate(x["last"]).alias("until"), r["rank"].alias("rank"), r["rule"].alias("rule")
+    )))
+    return (
+        forms.withColumn("tried", F.when(form != "", tried)).withColumn("hit", hits).withColumn("lengths", lengths)
+        .withColumn("detections", F.array_sort(F.flatten(places))).drop("tried", "hit", "lengths")
+    )
 
 
 def standing(found: Column) -> Column:
@@ -233,18 +268,16 @@ def standing(found: Column) -> Column:
     For each priority the farthest end so far is carried along, so one pass over the sorted intervals decides.
     """
     levels = 10
-    start = F.struct(
-        F.array_repeat(F.lit(-1), levels).alias("ends"), F.array().cast("array<struct<first:int,until:int,rank:int,rule:int>>").alias("kept")
-    )
 
     def step(acc: Column, x: Column) -> Column:
         last = F.negate(x["until"])
         level = F.negate(x["rank"])
-        inside = F.exists(F.slice(acc["ends"], level + 1, levels), lambda end: end >= last)
-        ends = F.transform(acc["ends"], lambda end, k: F.when(k == level, F.greatest(end, last)).otherwise(end))
-        return F.when(inside, acc).otherwise(F.struct(ends.alias("ends"), F.concat(acc["kept"], F.array(x)).alias("kept")))
+        inside = F.exists(F.slice(acc["state"], level + 1, levels), lambda end: end >= last)
+        ends = F.transform(acc["state"], lambda end, k: F.when(k == level, F.greatest(end, last)).otherwise(end))
+        return F.when(inside, acc).otherwise(F.struct(ends.alias("state"), F.concat(acc["found"], F.array(x)).alias("found")))
 
-    return F.aggregate(found, start, step, lambda acc: acc["kept"])
+    empty = F.array().cast("array<struct<first:int,until:int,rank:int,rule:int>>")
+    return gathered(found, F.array_repeat(F.lit(-1), levels), empty, step)
 
 
 def scan(documents: DataFrame, rules: list[Rule] | None = None, base: dict[str, str] = BASE) -> DataFrame:
@@ -258,9 +291,6 @@ def scan(documents: DataFrame, rules: list[Rule] | None = None, base: dict[str,
         F.when(gate, spaced(F.col("text"))).otherwise("").alias("form"),
     )
 
-    def count(x: Column) -> Column:
-        return ((F.char_length(x) - F.char_length(F.replace(x, F.lit(" "), F.lit("")))) / 2).cast("long")
-
     n_base, firsts, lasts, labels = F.lit(0).cast("long"), [], [], []
     for phrase, label in base.items():
         marked = f" {phrase.replace(' ', '  ')} "
@@ -268,13 +298,12 @@ def scan(documents: DataFrame, rules: list[Rule] | None = None, base: dict[str,
         places = ((F.char_length("form") - F.char_length(F.replace("form", F.lit(marked), F.lit("")))) / len(marked)).cast("long")
         n_base = n_base + places
         here = F.contains("form", F.lit(marked))
-        firsts.append(F.when(here, count(F.substring_index("form", marked, 1))))
-        lasts.append(F.when(here, count(F.col("form")) - count(F.substring_index("form", marked, -1)) - size))
+        firsts.append(F.when(here, n_words(F.substring_index("form", marked, 1)).cast("long")))
+        lasts.append(F.when(here, (n_words(F.col("form")) - n_words(F.substring_index("form", marked, -1)) - size).cast("long")))
         labels.append(F.when(here, F.lit(label)))
-    found = forms.select(
+    found = with_detections(forms, rules).select(
         "doc_id", "n_words", n_base.alias("n_base"), F.least(*firsts).alias("first_word"), F.greatest(*lasts).alias("last_word"),
-        F.array_sort(F.array_distinct(F.array_compact(F.array(*labels)))).alias("base"),
-        F.when(F.col("form") != "", standing(detections(F.col("form"), rules))).alias("kept"),
+        F.array_sort(F.array_distinct(F.array_compact(F.array(*labels)))).alias("base"), standing(F.col("detections")).alias("kept"),
     )
     names = F.array(*[F.lit(r.label) for r in rules])
     weights = F.array(*[F.lit(r.weight) for r in rules])
