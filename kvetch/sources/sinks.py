@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -53,9 +54,11 @@ def write_partition(
 ) -> None:
     """Create the table if it is missing and replace exactly one partition of it.
 
-    ``partition`` maps each partition column to its value and type. The static form of
-    the insert also clears the partition when ``df`` is empty. Columns go by name, and have
-    to be the table's by name and type: nothing is left out or changed on the way.
+    ``partition`` maps each partition column to its value and type. Rows, none included, are written to a new folder
+    below the table's ``_versions``; when they are all there, the catalog is told that the partition lies there. So
+    the table's readers see the old rows or the new ones, never a part, and a run that fails changes nothing. Folders of
+    earlier versions stay for readers that began before, until someone cleans them.
+    Columns go by name, and have to be the table's by name and type: nothing is left out or changed on the way.
     """
     spark = df.sparkSession
     keys = ", ".join(f"{_quoted_column(name)} {kind}" for name, (_, kind) in partition.items())
@@ -76,7 +79,16 @@ def write_partition(
     if files is not None:
         # Not coalesce, which would also run everything before it in that few tasks.
         ordered = ordered.repartition(files)
-    spark.sql(f"INSERT OVERWRITE TABLE {_quoted(table)} PARTITION ({values}) SELECT * FROM {{rows}}", rows=ordered)
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(table)}").where("col_name = 'Location'")
+    folder = f"{described.first()['data_type']}/_versions/{uuid.uuid4().hex}"
+    ordered.write.parquet(folder)
+    place = f"LOCATION {partition_literal(folder, 'string')}"
+    # Either is one step of the catalog, and all that readers notice.
+    shown = spark.sql(f"SHOW PARTITIONS {_quoted(table)} PARTITION ({values})")
+    if shown.isEmpty():
+        spark.sql(f"ALTER TABLE {_quoted(table)} ADD IF NOT EXISTS PARTITION ({values}) {place}")
+    else:
+        spark.sql(f"ALTER TABLE {_quoted(table)} PARTITION ({values}) SET {place}")
 
 
 def save_by_date(

@@ -28,6 +28,39 @@ def test_string_partition(spark, table_name, tmp_path):
         sinks.save_by_date(rows, table_name, "2024-01-01 or 1=1")
 
 
+def test_a_run_that_fails_changes_nothing(spark, table_name):
+    def rows(n, fails=False):
+        broken = F.when(F.col("id") == n - 1, F.raise_error(F.lit("lost"))) if fails else F.lit(None)
+        return spark.range(0, n, 1, 4).select("id", F.coalesce(broken.cast("string"), F.lit("a")).alias("a"))
+
+    sinks.save_by_hour(rows(5), table_name, 20240101, 3)
+    sinks.save_by_hour(rows(7), table_name, 20240101, 4)
+    # The other tasks have written their files by the time the last one fails.
+    with pytest.raises(Exception, match="lost"):
+        sinks.save_by_hour(rows(400, fails=True), table_name, 20240101, 3)
+    with pytest.raises(Exception, match="lost"):
+        sinks.save_by_hour(rows(400, fails=True), table_name, 20240101, 5)
+
+    def counts():
+        return sorted(map(tuple, spark.table(table_name).groupBy("stat_hour").count().collect()))
+
+    assert counts() == [(3, 5), (4, 7)]
+    sinks.save_by_hour(rows(400), table_name, 20240101, 3)
+    assert counts() == [(3, 400), (4, 7)]
+
+
+def test_readers_keep_the_version_they_began_with(spark, table_name):
+    sinks.save_by_date(spark.range(0, 10, 1, 2), table_name, 20240101)
+    begun = spark.table(table_name)
+    assert len(begun.collect()) == 10
+    sinks.save_by_date(spark.range(0, 3, 1, 1), table_name, 20240101)
+    assert len(begun.collect()) == 10
+    assert spark.table(table_name).count() == 3
+    # The rows of a partition may come from the partition itself.
+    sinks.save_by_date(spark.table(table_name).select((F.col("id") + 1).alias("id")), table_name, 20240101)
+    assert sorted(r["id"] for r in spark.table(table_name).collect()) == [1, 2, 3]
+
+
 def test_unsupported_type(spark, table_name):
     with pytest.raises(TypeError, match="timestamp"):
         sinks.save_by_date(spark.range(1).select(F.current_timestamp().alias("at")), table_name, 1)
