@@ -202,23 +202,28 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Fit on at most ``sample_rows`` labelled documents that aren't held out."""
+    """Fit on at most ``sample_rows`` labelled documents that aren't held out.
+
+    The bound holds for labels and for the rows they belong to, so that an id on many rows brings no more to the driver.
+    """
     known = (
         labels.select("doc_id", F.col("quality").cast("int").alias("quality"))
         .where(F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
         .orderBy(F.xxhash64("doc_id"), "doc_id", "quality")
         .limit(sample_rows)
     )
-    found = documents.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("text", "quality")
+    found = documents.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("doc_id", "text", "quality")
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in released(batches):
             for part in slices(batch, "text", 1 << 20):
                 rows = feature_matrix(part.column("text"))
                 values = pa.FixedSizeListArray.from_arrays(pa.array(rows.ravel()), len(FEATURES)).cast(pa.list_(pa.float64()))
-                yield pa.RecordBatch.from_arrays([values, part.column("quality")], names=["x", "quality"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), values, part.column("quality")], names=["doc_id", "x", "quality"])
 
-    rows = found.mapInArrow(measured, "x array<double>, quality int").toArrow()
+    schema = T.StructType([found.schema["doc_id"], T.StructField("x", T.ArrayType(T.DoubleType())), found.schema["quality"]])
+    first = found.mapInArrow(measured, schema).orderBy(F.xxhash64("doc_id"), "doc_id", "x", "quality").limit(sample_rows)
+    rows = first.select("x", "quality").toArrow()
     x = rows["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
     y = rows["quality"].to_numpy().astype(np.float64)
     # Sums of floats depend on the order of rows, which a cluster doesn't fix.

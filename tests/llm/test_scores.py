@@ -291,6 +291,19 @@ def test_classifier_without_labels_or_with_one_class(spark):
     assert quality_gam.keep_good(texts.table(spark, []), none).count() == 0
 
 
+def test_labelled_id_on_many_rows_stays_within_the_sample(spark, monkeypatch):
+    rows, labels = labelled(60)
+    hot = next(r[0] for r in labels if zlib.crc32(str(r[0]).encode()) % 5)
+    documents = texts.table(spark, [*rows, *[(hot, f"copy {k} of a hot id") for k in range(300)]])
+    seen, fit = [], quality_gam.fit
+    monkeypatch.setattr(quality_gam, "fit", lambda x, y: seen.append((x, y)) or fit(x, y))
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    for _ in range(2):
+        quality_gam.train(documents, table, 40)
+    assert len(seen[0][0]) == len(seen[0][1]) == 40
+    assert np.array_equal(seen[0][0], seen[1][0]) and np.array_equal(seen[0][1], seen[1][1])
+
+
 def test_kept_documents_keep_their_columns(spark):
     rows, labels = labelled()
     table = texts.table(spark, rows)
