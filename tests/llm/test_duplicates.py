@@ -34,6 +34,44 @@ def test_suffix_dedup_of_other_windows_and_runs(spark):
         assert {tuple(r)[:4] for r in got} == want
 
 
+def test_suffix_dedup_deals_hot_keys_again(spark, documents, rows):
+    """The result does not depend on which keys are dealt out by more bytes."""
+    want = sorted(((i, n, m, s, hashlib.sha256(b).hexdigest()) for i, n, m, s, b in texts.repeats(rows)), key=repr)
+    for hot in (1, 3):
+        assert sorted((tuple(r) for r in suffix_dedup.remove_repeats(documents, hot=hot).collect()), key=repr) == want
+    runs = [(3, "ab" * 100), (1, "ab" * 40 + "c"), (2, "x" + "ab" * 60), (4, "a" * 90), (5, "b" + "a" * 95)]
+    for window in (17, 20, 50):
+        got = suffix_dedup.remove_repeats(texts.table(spark, runs), window, hot=1).collect()
+        assert {tuple(r)[:4] for r in got} == {(i, n, m, s) for i, n, m, s, _ in texts.repeats(runs, window)}
+
+
+def test_suffix_dedup_of_a_header_in_many_texts(spark):
+    """One header between bytes that differ everywhere: no call may refine all of its strings."""
+    rng = random.Random(9)
+    header = "Licensed by the committee of the readers of this archive, all rights kept."
+    rows = [(k, texts.sentence(rng, 12) + header + texts.sentence(rng, 12)) for k in range(300)]
+    got = {tuple(r)[:4] for r in suffix_dedup.remove_repeats(texts.table(spark, rows), hot=50).collect()}
+    assert got == {(i, n, m, s) for i, n, m, s, _ in texts.repeats(rows)}
+    data = np.frombuffer("".join(t for _, t in rows).encode(), np.uint8)
+    starts = np.concatenate([[0], np.cumsum([len(t.encode()) for _, t in rows])])
+    found = suffix_dedup.anchors(data, starts)
+    _, of, count = np.unique(found.hash, return_inverse=True, return_counts=True)
+    hot = np.flatnonzero((count >= 300)[of])
+    run, key, first, windows = suffix_dedup.dealt_again(data, found.gram[hot], found.first[hot], found.windows[hot], 50)
+    assert windows.sum() == found.windows[hot].sum()
+    # Buckets hold equal strings, or few of those that differ.
+    buckets: dict = {}
+    for k, f, w in zip(key.tolist(), first.tolist(), windows.tolist(), strict=True):
+        buckets.setdefault(k, set()).add(data[f : f + w + 49].tobytes())
+    assert max(map(len, buckets.values())) <= 60
+
+
+def test_stretches_cover_all_places():
+    for window in (16, 17, 20, 50, 64):
+        places = [p for a, b in suffix_dedup.stretches(window) for p in range(a, b + 1)]
+        assert places == list(range(window - suffix_dedup.Q + 1))
+
+
 def test_bucket_pointers_tell_windows_apart():
     rng = np.random.default_rng(1)
     text = rng.integers(97, 99, 3000).astype(np.uint8)
