@@ -12,9 +12,11 @@ other. Then
 4. *Search.* Each class is a query to the shards of its ``PROBES`` nearest centroids: a greedy search walks the united graph from the
    parts' medoids, and when it stands in range of the query it goes on to everything in range that it can reach.
 5. *Verify* each hit by the cosine in double precision, and *audit*: blocks of classes, the first of ``AUDIT``, are compared with all
-   vectors until ``AUDIT_LINKS`` true links are seen. If the recall is below ``RECALL``, shards, probes and beam are widened and the
-   search runs again. If it still is after ``ROUNDS`` rounds, the remaining classes are compared with all as well. So a table with
-   too few links to measure the search by, or one that it fails on, is compared wholly, in blocks, and the links are the true ones.
+   vectors until ``AUDIT_LINKS`` true links or ``AUDITED`` classes are seen. Where that leaves too few links to measure the search by,
+   ``PLANTED`` classes of each length get a planted partner each, turned away from them by a cosine between the threshold and 1, which
+   is searched for like all others but belongs to no part. If the recall is below ``RECALL``, shards, probes and beam are
+   widened and the search runs again. Only if it still is after ``ROUNDS`` rounds are the remaining classes compared with all as
+   well, in blocks. The links are those that the search found, and those the audit saw.
 
 Links are emitted once per pair of classes, never per pair of copies.
 
@@ -31,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kvetch.llm.common import components, ranges, written
@@ -57,6 +59,8 @@ DEALT = 20_000
 SLACK = 0.08
 AUDIT = 200
 AUDIT_LINKS = 100
+AUDITED = 4_000
+PLANTED = 400
 # Most classes that are compared with all at once, and most cosines in memory.
 ASKED = 4_000
 COSINES = 4_000_000
@@ -248,11 +252,13 @@ def found_links(
         at = np.repeat(every, count)
         place = ranges(np.zeros_like(count), count)
         turn, asks = own_turn[at], np.ones(len(at), bool)
-        member = (place == own_part[at]) & inside
+        real = ~batch.column("planted").to_numpy(zero_copy_only=False)[rows]
+        member = (place == own_part[at]) & inside & real[at]
         if inside:
-            # Members stand in the other turns too, where they don't ask.
-            more = np.repeat(every, rounds - 1)
-            other = ranges(np.zeros_like(rounds), rounds - 1)
+            # Members stand in the other turns too, where they don't ask; planted ones are none.
+            others = np.where(real, rounds - 1, 0)
+            more = np.repeat(every, others)
+            other = ranges(np.zeros_like(rounds), others)
             other += other >= own_turn[more]
             at, place, turn = np.concatenate([at, more]), np.concatenate([place, own_part[more]]), np.concatenate([turn, other])
             asks = np.concatenate([asks, np.zeros(len(more), bool)])
@@ -264,7 +270,7 @@ def found_links(
             names=["shard", "part", "turn", "member", "asks", "class", "bytes"],
         )
 
-    placed = classes.select("class", "bytes").mapInArrow(
+    placed = classes.select("class", "bytes", "planted").mapInArrow(
         dealt, "shard int, part int, turn int, member boolean, asks boolean, class long, bytes binary"
     )
 
@@ -360,10 +366,10 @@ class Audit:
     def whole(self) -> bool:
         return self.asked == self.blocks
 
-    def ask(self, enough: float) -> None:
-        """Ask more classes, until ``enough`` links are seen or all are asked."""
+    def ask(self, enough: float, most: float = float("inf")) -> None:
+        """Ask more classes, until ``enough`` links are seen, about ``most`` classes or all are asked."""
         number = F.pmod(F.xxhash64("class", F.lit(11)), F.lit(self.blocks))
-        while self.seen < enough and not self.whole:
+        while self.seen < enough and self.asked * AUDIT < most and not self.whole:
             until = min(self.asked + self.step, self.blocks)
             asked = self.classes.where((number >= self.asked) & (number < until)).select("class", "bytes").toArrow()
             self.asked, self.step = until, min(4 * self.step, max(1, ASKED // AUDIT))
@@ -372,13 +378,39 @@ class Audit:
                 self.seen += links.count()
                 self.links = self.links.union(links)
 
-    def recall(self, links: DataFrame) -> float:
-        """The share of the true links that are among ``links``."""
+    def recall(self, links: DataFrame, planted: DataFrame | None) -> float:
+        """The share of the true links, planted ones among them, that are among ``links``."""
         true = self.links.distinct()
+        if planted is not None:
+            true = true.union(planted.select("a", "b"))
         got = true.join(links.withColumn("found", F.lit(1)), ["a", "b"], "left").agg(F.count("*").alias("n"), F.count("found").alias("k")).first()
         return got["k"] / got["n"] if got["n"] else 1.0
 
 
+def planted_partners(spark: SparkSession, samples: list[pa.Table], cosine: float, seed: int = 3) -> DataFrame:
+    """Partners of the sampled classes at known cosines: ``class``, ``bytes`` and their link ``a`` < ``b``.
+
+    A vector of one component has no other direction to be turned to, so it gets no partner.
+    """
+    rng, ids, rows = np.random.default_rng(seed), [], []
+    for sample in samples:
+        some = sample.slice(0, PLANTED)
+        at = unit(vector_rows(some, "bytes"))
+        if at.shape[1] == 1:
+            continue
+        away = rng.normal(size=at.shape)
+        away = unit(away - np.einsum("ij,ij->i", away, at)[:, None] * at)
+        near = np.minimum(cosine + (1 - cosine) * rng.random((len(at), 1)) + 1e-9, 1)
+        ids += some["class"].to_pylist()
+        rows += [x.tobytes() for x in near * at + np.sqrt(1 - near**2) * away]
+    table = pa.table([pa.array(ids, pa.int64()), pa.array(rows, pa.binary())], names=["of", "bytes"])
+    planted = spark.createDataFrame(table).withColumn("class", F.xxhash64("bytes"))
+    # A partner that happens to be one of the sampled vectors tells nothing.
+    return planted.where(F.col("class") != F.col("of")).select(
+        "class", "bytes", F.least("class", "of").alias("a"), F.greatest("class", "of").alias("b")
+    )
+
+
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     """``vec_id``, ``n_links``, ``component_id`` and ``kept`` of each vector (``vec_id``, ``embedding``)."""
     rows = written(usable(vectors).withColumn("class", F.xxhash64("bytes")), "vectors")
@@ -390,27 +422,35 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     lengths = classes.groupBy((F.octet_length("bytes") / 8).cast("int").alias("width")).agg(F.count("*").alias("n")).orderBy("width").limit(64).collect()
     if len(lengths) == 64:
         raise ValueError("vectors have more than 63 lengths")
-    centroids = {}
+    centroids, samples = {}, []
     for r in lengths:
-        sample = classes.where(F.octet_length("bytes") == 8 * r["width"]).orderBy("class").limit(SAMPLE).select("bytes").toArrow()
+        sample = classes.where(F.octet_length("bytes") == 8 * r["width"]).orderBy("class").limit(SAMPLE).select("class", "bytes").toArrow()
+        samples.append(sample.slice(0, PLANTED))
         count = min(MAX_CENTROIDS, -(-r["n"] // SHARD), sample.num_rows)
         centroids[r["width"]] = fit_centroids(unit(vector_rows(sample, "bytes")), count)
     total = sum(r["n"] for r in lengths)
     overlap, probes, beam = OVERLAP, PROBES, BEAM
     links = rows.sparkSession.createDataFrame([], "a long, b long")
     audit = Audit(classes, total, cosine)
+    audit.ask(AUDIT_LINKS, AUDITED)
+    searched, planted = classes.select("class", "bytes", F.lit(False).alias("planted")), None
+    if total and audit.seen < AUDIT_LINKS:
+        planted = written(planted_partners(rows.sparkSession, samples, cosine), "planted")
+        searched = searched.union(planted.select("class", "bytes", F.lit(True)))
     for _ in range(ROUNDS if total else 0):
         parts, turns = parts_and_turns(classes, centroids, overlap, probes)
-        links = written(found_links(classes, centroids, parts, turns, overlap, probes, beam, cosine), "links")
-        audit.ask(AUDIT_LINKS)
-        if audit.whole or audit.recall(links) >= RECALL:
+        links = written(found_links(searched, centroids, parts, turns, overlap, probes, beam, cosine), "links")
+        if audit.recall(links, planted) >= RECALL:
             break
         overlap, probes, beam = overlap + 1, probes * 2, beam * 2
     else:
         audit.ask(float("inf"))
-    # All classes asked: their true links need no search.
-    if total and audit.whole:
-        links = written(audit.links.distinct(), "links")
+    if planted is not None:
+        # At most PLANTED for each of few lengths.
+        names = F.broadcast(planted.select("class"))
+        for end in ("a", "b"):
+            links = links.join(names, F.col(end) == F.col("class"), "left_anti")
+    links = written(links.union(audit.links).distinct(), "links")
     roots = components(links)
     both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     degrees = both.join(classes.select(F.col("class").alias("b"), "copies"), "b").groupBy("a").agg(F.sum("copies").alias("others"))

@@ -244,6 +244,47 @@ def test_vector_graph_keeps_links_that_the_search_misses(spark, monkeypatch):
         assert {r["vec_id"]: r["n_links"] for r in got} == {i: degree[i, tuple(v)] for i, v in rows}
 
 
+def test_vector_graph_of_a_table_with_few_links(spark, monkeypatch):
+    """The search is measured by planted partners, and few links don't mean that all is compared with all."""
+    monkeypatch.setattr(vector_graph, "AUDIT", 10)
+    monkeypatch.setattr(vector_graph, "AUDITED", 30)
+    monkeypatch.setattr(vector_graph, "SHARD", 60)
+    rng = np.random.default_rng(17)
+    rows = [(k, v.tolist()) for k, v in enumerate(rng.normal(size=(400, 16)))]
+    rows += [(1000 + k, [x * 2 + 0.05 for x in rows[7 * k][1]]) for k in range(20)] + [(2000, [3.0]), (2001, [-1.0])]
+    asked, recalls = [], []
+    ask, recall = vector_graph.Audit.ask, vector_graph.Audit.recall
+
+    def asking(self, *limits):
+        ask(self, *limits)
+        asked.append(self.asked * vector_graph.AUDIT)
+
+    def recalled(self, links, planted):
+        recalls.append((recall(self, links, planted), planted.count()))
+        return recalls[-1][0]
+
+    monkeypatch.setattr(vector_graph.Audit, "ask", asking)
+    monkeypatch.setattr(vector_graph.Audit, "recall", recalled)
+    got = vector_graph.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    root, degree = brute_links(rows)
+    assert max(asked) <= 60 and len(asked) == 1
+    assert recalls[-1][0] >= vector_graph.RECALL and recalls[-1][1] == 400
+    found, true = sum(r["n_links"] for r in got), sum(degree.values())
+    assert true >= 40 and 0.9 * true <= found <= true
+    assert {r["vec_id"] for r in got} == {i for i, _ in rows}
+
+
+def test_planted_partners_are_in_range(spark):
+    rng = np.random.default_rng(18)
+    rows = rng.normal(size=(50, 8))
+    sample = pa.table([pa.array(range(50), pa.int64()), pa.array([x.tobytes() for x in rows], pa.binary())], names=["class", "bytes"])
+    got = vector_graph.planted_partners(spark, [sample], 0.9).toArrow()
+    near = vector_graph.unit(vector_graph.vector_rows(got, "bytes"))
+    of = [b if a == c else a for a, b, c in zip(*(got[x].to_pylist() for x in ("a", "b", "class")), strict=True)]
+    cosines = np.einsum("ij,ij->i", near, vector_graph.unit(rows)[of])
+    assert sorted(of) == list(range(50)) and cosines.min() >= 0.9 and cosines.min() < 0.92 and cosines.max() > 0.98
+
+
 def test_range_search_walks_the_graph():
     rng = np.random.default_rng(0)
     rows = vector_graph.unit(rng.normal(size=(400, 8))).astype(np.float32)
