@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping
+from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +20,18 @@ COLUMN_TYPES = {
     T.DoubleType(): "double",
 }
 
+# Bytes of columns that a file is made of at most: each file is written by one task, which reads all of it.
+MAX_FILE_BYTES = 512 << 20
+
+
+def _files(df: DataFrame, files: int) -> int:
+    """As many files as asked for, or as the rows' size needs."""
+    wide = [name for name, kind in df.dtypes if kind == "string"]
+    sizes = [F.coalesce(F.octet_length(_quoted_column(name)), F.lit(0)).cast("long") for name in wide]
+    row = reduce(add, sizes, F.lit(8 * (len(df.columns) - len(wide))).cast("long"))
+    size = df.agg(F.coalesce(F.sum(row), F.lit(0).cast("long"))).first()[0]
+    return max(files, -(-size // MAX_FILE_BYTES))
+
 
 def _quoted(name: str) -> str:
     return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
@@ -58,6 +72,7 @@ def write_partition(
     below the table's ``_versions``; when they are all there, the catalog is told that the partition lies there. So
     the table's readers see the old rows or the new ones, never a part, and a run that fails changes nothing. Folders of
     earlier versions stay for readers that began before, until someone cleans them.
+    ``files`` is how many there are, or more where one would hold more than :data:`MAX_FILE_BYTES`.
     Columns go by name, and have to be the table's by name and type: nothing is left out or changed on the way.
     """
     spark = df.sparkSession
@@ -78,7 +93,7 @@ def write_partition(
     ordered = df.select(*map(_quoted_column, held))
     if files is not None:
         # Not coalesce, which would also run everything before it in that few tasks.
-        ordered = ordered.repartition(files)
+        ordered = ordered.repartition(_files(ordered, files))
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(table)}").where("col_name = 'Location'")
     folder = f"{described.first()['data_type']}/_versions/{uuid.uuid4().hex}"
     ordered.write.parquet(folder)
