@@ -5,18 +5,23 @@ Inputs hold ``label`` and ``tokens``; features also keep the key columns they ar
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kvetch.functions.rows import explode_rows
 from kvetch.functions.text import FEATURE_STOP_WORDS, without_words
-from kvetch.operators.lookup import lookup_join
+from kvetch.operators.lookup import lookup_join, token_parts
 
 # Words of this length or longer are no features; this class is always kept.
 MAX_WORD_LENGTH = 20
 KEPT_CLASS = "1"
+# Tokens whose counts a task forms, about.
+_TOKENS_PER_TASK = 1 << 22
 
 
 def usable_words(tokens: str = "tokens", stop_words: Iterable[str] = FEATURE_STOP_WORDS) -> Column:
@@ -69,6 +74,26 @@ def _feature_words(texts: DataFrame, tokens: Column | str, vocabulary: DataFrame
     return words if vocabulary is None else lookup_join(words, vocabulary.select("word"), "left_semi").select(*kept, "word")
 
 
+def _counted(tokens: Column) -> Column:
+    """The distinct words of each text with their numbers of occurrences; NULL is no word."""
+    @F.arrow_udf("array<struct<word:string,n:bigint>>")
+    def counted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            parts = [pa.array([], pa.list_(pa.struct({"word": pa.string(), "n": pa.int64()})))]
+            for texts in token_parts(batch):
+                sizes = pc.fill_null(pc.list_value_length(texts), 0).to_numpy(zero_copy_only=False)
+                coded = texts.flatten().dictionary_encode()
+                code = pc.fill_null(coded.indices, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+                words = len(coded.dictionary) + 1
+                pair, n = np.unique((np.repeat(np.arange(len(texts)), sizes) * words + code)[code >= 0], return_counts=True)
+                offsets = np.searchsorted(pair, np.arange(len(texts) + 1) * words).astype("i4")
+                items = pa.StructArray.from_arrays([coded.dictionary.take(pa.array(pair % words)).cast(pa.string()), pa.array(n, pa.int64())], names=["word", "n"])
+                parts.append(pa.ListArray.from_arrays(pa.array(offsets), items))
+            yield pa.concat_arrays(parts)
+
+    return counted(tokens)
+
+
 def binary_features(texts: DataFrame, vocabulary: DataFrame | None = None) -> DataFrame:
     """One row per text and distinct word, with value 1. Needs no shuffle of texts.
 
@@ -80,8 +105,15 @@ def binary_features(texts: DataFrame, vocabulary: DataFrame | None = None) -> Da
 def count_features(texts: DataFrame, vocabulary: DataFrame | None = None) -> DataFrame:
     """One row per text and distinct word with its number of occurrences.
 
-    The columns besides ``tokens`` have to tell texts apart. Repeats are combined before
-    the shuffle. With a ``vocabulary`` other words are no features.
+    The columns besides ``tokens`` have to tell texts apart; rows that are equal in them count together. Repeats
+    are combined in their own row, so no task holds counts of more than its share of the shuffle, which is set by the
+    number of tokens. With a ``vocabulary`` other words are no features.
     """
-    words = _feature_words(texts, "tokens", vocabulary)
-    return words.groupBy(*words.columns).agg(F.count("*").alias("value"))
+    total = texts.agg(F.coalesce(F.sum(F.greatest(F.size("tokens"), F.lit(0))), F.lit(0))).first()[0]
+    parts = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // _TOKENS_PER_TASK + 1)
+    kept = [f"`{name}`" for name in texts.columns if name != "tokens"]
+    rows = explode_rows(texts, _counted(F.col("tokens")), "_token", *kept).select(*kept, "_token.word", "_token.n")
+    if vocabulary is not None:
+        rows = lookup_join(rows, vocabulary.select("word"), "left_semi")
+    keys = [*kept, "word"]
+    return rows.repartition(parts, *keys).groupBy(*keys).agg(F.sum("n").alias("value"))
