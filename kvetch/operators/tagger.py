@@ -10,7 +10,7 @@ together, a place of each in a step (the Viterbi algorithm). So Python takes one
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from kvetch.functions.rows import explode_rows
 from kvetch.operators.automaton import marked, ranges
 from kvetch.operators.lexicon import UNKNOWN
-from kvetch.operators.lookup import finder, small_table
+from kvetch.operators.lookup import finder, small_table, with_matches
 
 _UNIT = 1_000_000
 # Natures are rows and columns of a matrix.
@@ -128,15 +128,49 @@ def _decoded(word: np.ndarray, starts: np.ndarray, held: _Candidates, costs: np.
     return nature[chosen]
 
 
+def _natures(texts: pa.Array, held: _Candidates, find: Callable[[pa.Array], np.ndarray], costs: np.ndarray, names: pa.Array) -> pa.Array:
+    """The natures of a batch of token arrays."""
+    sizes = pc.fill_null(pc.list_value_length(texts), 0).to_numpy(zero_copy_only=False)
+    found = find(texts.flatten())
+    word = np.where(found < 0, len(held.words), found)
+    starts = (np.cumsum(sizes) - sizes)[sizes > 0]
+    tags = _decoded(word, starts, held, costs) if len(word) else word
+    offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype("i4"))
+    return pa.ListArray.from_arrays(offsets, names.take(pa.array(tags)))
+
+
+def _by_join(df: DataFrame, tokens: str, tagger: Tagger, name: str) -> DataFrame:
+    """The natures of each text's own words are joined to it, once per distinct text, and solved as ever."""
+    entries = tagger.words.groupBy("word").agg(F.collect_list(F.struct("nature", "cost")).alias("held"))
+    # NULL tokens leave the text here: they have no entry.
+    words = F.array_distinct(F.filter(F.coalesce(tokens, F.array().cast("array<string>")), lambda word: word.isNotNull()))
+    joined = with_matches(df.withColumn("_words", words), "_words", entries, "_entries")
+    shared = df.sparkSession.sparkContext.broadcast((tagger.costs, tagger.natures))
+
+    @F.arrow_udf("array<string>")
+    def natures(texts: pa.Array, found: pa.Array) -> pa.Array:
+        costs, names = shared.value
+        _, word, held = found.flatten().flatten()
+        first = np.unique(word.dictionary_encode().indices.to_numpy(zero_copy_only=False), return_index=True)[1]
+        word, held = word.take(pa.array(first)), held.take(pa.array(first))
+        nature, cost = held.flatten().flatten()
+        owner = np.repeat(np.arange(len(word)), pc.list_value_length(held).to_numpy(zero_copy_only=False))
+        table = pa.table({"word": word.take(pa.array(owner)), "nature": nature, "cost": cost})
+        candidates = _Candidates(table, names)
+        return _natures(texts, candidates, finder(candidates.words), costs, pa.array(names, pa.string()))
+
+    return joined.withColumn(name, natures(F.col(tokens), F.col("_entries"))).drop("_words", "_entries")
+
+
 def with_natures(df: DataFrame, tokens: str, tagger: Tagger, name: str = "natures") -> DataFrame:
     """Add ``name``: the natures of the tokens, each row being a sentence.
 
-    NULL tokens are unknown words; rows without tokens have no natures. The words' table is sent to the tasks, so it has
-    to be within the limits of :func:`~kvetch.operators.lookup.fits`.
+    NULL tokens are unknown words; rows without tokens have no natures. The words' table is sent to the tasks where it is
+    within the limits of :func:`~kvetch.operators.lookup.fits`, else joined with the texts' words.
     """
     table = small_table(tagger.words)
     if table is None:
-        raise ValueError("the tagger has too many words to send to the tasks")
+        return _by_join(df, tokens, tagger, name)
     shared = df.sparkSession.sparkContext.broadcast((_Candidates(table, tagger.natures), tagger.costs, tagger.natures))
 
     @F.arrow_udf("array<string>")
@@ -144,13 +178,7 @@ def with_natures(df: DataFrame, tokens: str, tagger: Tagger, name: str = "nature
         held, costs, names = shared.value
         find, names = finder(held.words), pa.array(names, pa.string())
         for texts in batches:
-            sizes = pc.fill_null(pc.list_value_length(texts), 0).to_numpy(zero_copy_only=False)
-            found = find(texts.flatten())
-            word = np.where(found < 0, len(held.words), found)
-            starts = (np.cumsum(sizes) - sizes)[sizes > 0]
-            tags = _decoded(word, starts, held, costs) if len(word) else word
-            offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype("i4"))
-            yield pa.ListArray.from_arrays(offsets, names.take(pa.array(tags)))
+            yield _natures(texts, held, find, costs, names)
 
     return df.withColumn(name, natures(F.col(tokens)))
 
