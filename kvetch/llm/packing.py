@@ -16,8 +16,10 @@ rows. Other columns of the input are ignored.
 from __future__ import annotations
 
 import json
+import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,12 +27,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kvetch.llm.common import ranges, released, slices, text_bytes, word_keys
+from kvetch.llm.common import ranges, release, released, slices, text_bytes, word_keys
 
 FULL = 2048
 END_ID = 1
-# Distinct words whose ids a worker keeps.
+# Distinct words whose ids a task keeps.
 CACHE_WORDS = 1_000_000
+# Words that the tokenizer gets at once, and text bytes that one step works on.
+ENCODED_WORDS = 2_000
+STEP_BYTES = 1 << 20
 # Letters with ASCII punctuation behind them: the tokenizer cuts between the two, if normalising leaves the letters letters.
 WORD = r"^(?P<core>\p{L}+)(?P<tail>[!-/:-@\[-`{-~]*)$"
 
@@ -45,13 +50,15 @@ _encoders: dict[str, WordEncoder] = {}
 class WordEncoder:
     """Ids of texts from a tokenizer that drops white space and never joins across it.
 
-    Each distinct word is encoded once per worker and then looked up, in flat arrays of some
+    Each distinct word is encoded once per task and then looked up, in flat arrays of some
     tens of bytes a word.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
+        # A task has one core; threads of the tokenizer's own keep memory each.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         parts = json.loads(self.tokenizer.to_str())
         kinds = [part["type"] for part in (parts["normalizer"] or {}).get("normalizers", [])]
@@ -91,13 +98,15 @@ class WordEncoder:
         new = np.flatnonzero(out < 0)
         if len(new) == 0:
             return out
-        found = []
-        for at in range(0, len(new), 20_000):
-            part = words.take(pa.array(new[at : at + 20_000])).to_pylist()
-            found += [x.ids for x in self.tokenizer.encode_batch(part, add_special_tokens=False)]
-        counts = np.fromiter(map(len, found), np.int64, len(found))
+        coded, counts = [self.ids], []
+        for at in range(0, len(new), ENCODED_WORDS):
+            part = words.take(pa.array(new[at : at + ENCODED_WORDS])).to_pylist()
+            found = [x.ids for x in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            counts.append(np.fromiter(map(len, found), np.int64, len(found)))
+            coded.append(np.fromiter(chain.from_iterable(found), np.int32, int(counts[-1].sum())))
+        counts = np.concatenate(counts)
         first = len(self.ends)
-        self.ids = np.concatenate([self.ids, np.fromiter((i for x in found for i in x), np.int32, int(counts.sum()))])
+        self.ids = np.concatenate(coded)
         self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(counts)])
         self.blob = np.concatenate([self.blob, data[ranges(starts[new], sizes[new])]])
         self.stops = np.concatenate([self.stops, self.stops[-1] + np.cumsum(sizes[new])])
@@ -165,28 +174,37 @@ def pack(documents: DataFrame, tokenizer: str, full: int = FULL, with_ids: bool
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
 
+    def packed(part: pa.RecordBatch) -> pa.RecordBatch:
+        ids, starts = encoder(tokenizer).encode(part.column("text"))
+        raw = ids.astype("<u4", copy=False)
+        rows, columns = [], [[] for _ in range(4)]
+        sizes = np.diff(starts).tolist()
+        for row, (begin, total) in enumerate(zip(starts[:-1].tolist(), sizes, strict=True)):
+            start = 0
+            for length in lengths(total, full):
+                crc = zlib.crc32(raw[begin + start : begin + start + length])
+                rows.append(row)
+                for column, value in zip(columns, (start, length, crc, total), strict=True):
+                    column.append(value)
+                start += length
+        out = [part.column("doc_id").cast(pa.int64()).take(pa.array(rows, pa.int64()))]
+        out += [pa.array(column, pa.int64()) for column in columns]
+        if with_ids:
+            # Pieces lie in the order of the ids, without gaps.
+            ends = np.concatenate([[0], np.cumsum(columns[1])]).astype(np.int32)
+            out.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(ids)))
+        return pa.RecordBatch.from_arrays(out, names=names)
+
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in released(batches):
-            for part in slices(batch, "text"):
-                ids, starts = encoder(tokenizer).encode(part.column("text"))
-                raw = ids.astype("<u4")
-                rows, columns = [], [[] for _ in range(4)]
-                sizes = np.diff(starts).tolist()
-                for row, (begin, total) in enumerate(zip(starts[:-1].tolist(), sizes, strict=True)):
-                    start = 0
-                    for length in lengths(total, full):
-                        crc = zlib.crc32(raw[begin + start : begin + start + length])
-                        rows.append(row)
-                        for column, value in zip(columns, (start, length, crc, total), strict=True):
-                            column.append(value)
-                        start += length
-                out = [part.column("doc_id").cast(pa.int64()).take(pa.array(rows, pa.int64()))]
-                out += [pa.array(column, pa.int64()) for column in columns]
-                if with_ids:
-                    # Pieces lie in the order of the ids, without gaps.
-                    ends = np.concatenate([[0], np.cumsum(columns[1])]).astype(np.int32)
-                    out.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(ids)))
-                yield pa.RecordBatch.from_arrays(out, names=names)
+        try:
+            for batch in released(batches):
+                yield from map(packed, slices(batch, "text", STEP_BYTES))
+                del batch
+        finally:
+            # The worker goes on to serve other stages: it keeps the tokenizer, not the words.
+            if tokenizer in _encoders:
+                _encoders[tokenizer].clear()
+            release()
 
     cut = documents.select("doc_id", "text").mapInArrow(pieces, schema)
     return cut.select(
