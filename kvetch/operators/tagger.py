@@ -23,6 +23,7 @@ from kvetch.functions.rows import explode_rows
 from kvetch.operators.automaton import marked, ranges
 from kvetch.operators.lexicon import UNKNOWN
 from kvetch.operators.lookup import finder, small_table, with_matches
+from kvetch.session import scratch_folder
 
 _UNIT = 1_000_000
 # Natures are rows and columns of a matrix.
@@ -51,7 +52,12 @@ def train_tagger(tagged: DataFrame, *sentence: str) -> Tagger:
     """
     known = tagged.where("word is not null and nature is not null")
     before = F.lag("nature").over(Window.partitionBy(*sentence).orderBy("pos"))
-    pairs = known.select("nature", F.coalesce(before, F.lit("")).alias("before")).groupBy("before", "nature").agg(F.count("*").alias("n"))
+    # One pass over the tokens, written as the counts of words behind natures; pairs and words are sums of these.
+    folder, spark = scratch_folder(tagged.sparkSession, "natures"), tagged.sparkSession
+    tally = known.select("word", "nature", F.coalesce(before, F.lit("")).alias("before")).groupBy("word", "nature", "before").agg(F.count("*").alias("n"))
+    tally.write.parquet(f"{folder}/counts")
+    tally = spark.read.schema(tally.schema).parquet(f"{folder}/counts")
+    pairs = tally.groupBy("before", "nature").agg(F.sum("n").alias("n"))
     seen = pairs.limit(MAX_NATURES**2 + 1).toArrow().to_pylist()
     natures = sorted({row["nature"] for row in seen} | {UNKNOWN})
     if len(natures) > MAX_NATURES:
@@ -61,7 +67,10 @@ def train_tagger(tagged: DataFrame, *sentence: str) -> Tagger:
     for row in seen:
         counts[place.get(row["before"], len(natures)), place[row["nature"]]] = row["n"]
     costs = np.round(np.log((counts.sum(1, keepdims=True) + len(natures)) / (counts + 1)) * _UNIT).astype(np.int64)
-    words = known.groupBy("word", "nature").agg(F.count("*").alias("n"))
+    words = tally.groupBy("word", "nature").agg(F.sum("n").alias("n"))
+    # Written too: the table is measured, sent or joined.
+    words.write.parquet(f"{folder}/words")
+    words = spark.read.schema(words.schema).parquet(f"{folder}/words")
     totals = words.groupBy("nature").agg(F.sum("n").alias("total"))
     return Tagger(words.join(F.broadcast(totals), "nature").select("word", "nature", _cost(F.col("total"), F.col("n")).alias("cost")), natures, costs)
 

@@ -195,7 +195,10 @@ def tokenize_with_nature(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tokenize_with_nature_in_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All turns, by the natures that the documents' words have behind each other."""
-    words = explode_rows(_tokens(spark, sf_dir), "tokens", "word", "doc_id", pos="pos")
+    # Dealt out before they are rows of a word each, texts move once and take less room; the window's rows then lie where it wants them.
+    dealt = inputs.documents(spark, sf_dir, "doc_id", "text").repartition("doc_id")
+    texts = dealt.select("doc_id", tokenize(F.col("text")).alias("tokens"))
+    words = explode_rows(texts, "tokens", "word", "doc_id", pos="pos")
     before = F.lag("word").over(Window.partitionBy("doc_id").orderBy("pos"))
     tagged = words.select("doc_id", "pos", "word", inputs.nature_behind(before).alias("nature"))
     turns = inputs.spread(inputs.read(spark, sf_dir, "conversations").select("conv_id", "turn", "text"))

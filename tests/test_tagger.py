@@ -75,3 +75,20 @@ def test_long_sentence_and_empty_tables(spark):
     assert len(tagger.with_natures(rows, "tokens", model).first()["natures"]) == 20_000
     empty = tagger.train_tagger(tagged_table(spark, []), "s")
     assert tagger.with_natures(rows.limit(1), "tokens", empty).first()["natures"] == ["x"] * 20_000
+
+
+def test_a_tagged_table_is_computed_once(spark):
+    """Pairs, words and the words' table come from one pass over the tokens."""
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = [(s, k, word, nature) for s in range(5) for k, (word, nature) in enumerate([("a", "n"), ("b", "v"), ("b", "n"), (None, "n"), ("c", None)])]
+    table = spark.createDataFrame(rows, "s int, pos int, word string, nature string")
+    found = tagger.train_tagger(table.mapInArrow(seen, table.schema), "s")
+    held = {(r["word"], r["nature"]): r["cost"] for r in found.words.collect()}
+    assert read.value == len(rows) and set(held) == {("a", "n"), ("b", "v"), ("b", "n")}
+    assert held["b", "v"] == 0 and found.natures == ["n", "v", "x"]
