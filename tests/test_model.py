@@ -147,3 +147,16 @@ def test_only_the_tables_in_use_stay(spark, texts, in_tasks, monkeypatch, tmp_pa
 
 def test_registered_training_takes_all_passes():
     assert registered.PASSES == registered.PASSES_BY_JOIN == training.PASSES == 50
+
+
+def test_training_tokenises_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    table = spark.createDataFrame([("x", ["a", "b"]), ("y", ["b", None]), ("y", [])], "label string, tokens array<string>")
+    assert training.train(table.mapInArrow(seen, table.schema), 3).classes == ["x", "y"]
+    assert read.value == 3
